@@ -317,3 +317,227 @@ def q_prepare_campaigns(spark, sf):
 @query("prepare_campaigns_elapsed")
 def q_prepare_campaigns_elapsed(spark, sf):
     return pp.prepare_campaigns_elapsed(fx.campaigns(spark, sf))
+
+
+# ---------------------------------------------------------------- text features
+
+from fundscope.operators import encode as en  # noqa: E402
+from fundscope.operators import evaluate as ev  # noqa: E402
+from fundscope.operators import model as md  # noqa: E402
+from fundscope.operators import text as tx  # noqa: E402
+from fundscope.plans import train as tr  # noqa: E402
+
+# Fixed values of the text queries.  The labelled table is small, so minDF is
+# 5 / 10 / 20 there (55 / 75 / 95 empty the vocabulary of a few hundred rows).
+TEXT_MIN_DF = 5.0
+CAPPED_VOCAB_SIZE = 50
+LABELLED_MIN_DFS = (5.0, 10.0, 20.0)
+FIT_REG_PARAM = 1e-4
+
+
+def _documents(spark, sf):
+    return readers.read_table(spark, sf, "documents").select("doc_id", "text")
+
+
+def _filtered_docs(spark, sf):
+    return tx.remove_stop_words(tx.tokenize(_documents(spark, sf)))
+
+
+def _round(col, digits=6):
+    return F.round(F.col(col), digits).alias(col)
+
+
+@query("regex_tokenize")
+def q_regex_tokenize(spark, sf):
+    tokens = tx.tokenizer_stage().transform(_documents(spark, sf))
+    return tx.explode_positions(tokens, "doc_id", "tokens")
+
+
+@query("remove_stop_words")
+def q_remove_stop_words(spark, sf):
+    filtered = md.pretokenize(_documents(spark, sf))
+    return tx.explode_positions(filtered, "doc_id", "filtered")
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf):
+    docs = _filtered_docs(spark, sf)
+    return tx.vocabulary(tx.term_frequencies(docs), docs, TEXT_MIN_DF)
+
+
+@query("count_vectorize")
+def q_count_vectorize(spark, sf):
+    docs = _filtered_docs(spark, sf)
+    tf = tx.term_frequencies(docs)
+    vocab = tx.vocabulary(tf, docs, TEXT_MIN_DF)
+    return tx.restrict_to_vocabulary(tf, vocab).select("doc_id", "term", F.col("tf").alias("count"))
+
+
+@query("count_vectorize_capped")
+def q_count_vectorize_capped(spark, sf):
+    docs = _filtered_docs(spark, sf)
+    tf = tx.term_frequencies(docs)
+    vocab = tx.vocabulary(tf, docs, 1.0, vocab_size=CAPPED_VOCAB_SIZE)
+    return tx.restrict_to_vocabulary(tf, vocab).select("doc_id", "term", F.col("tf").alias("count"))
+
+
+@query("idf_weights")
+def q_idf_weights(spark, sf):
+    docs = _filtered_docs(spark, sf)
+    vocab = tx.vocabulary(tx.term_frequencies(docs), docs, TEXT_MIN_DF)
+    return tx.idf_weights(vocab, docs).select("term", "doc_freq", _round("idf"))
+
+
+@query("tf_idf")
+def q_tf_idf(spark, sf):
+    docs = _filtered_docs(spark, sf)
+    tf = tx.term_frequencies(docs)
+    idf = tx.idf_weights(tx.vocabulary(tf, docs, TEXT_MIN_DF), docs)
+    return tx.tf_idf(tf, idf).select("doc_id", "term", "tf", _round("tfidf"))
+
+
+# ---------------------------------------------------------------- encoders
+
+def _prepared(spark, sf):
+    return pp.prepare_campaigns(fx.campaigns(spark, sf))
+
+
+@query("string_index")
+def q_string_index(spark, sf):
+    docs = readers.read_table(spark, sf, "documents").select("doc_id", "source")
+    return en.index_strings(docs, "source", "source_index", "error")
+
+
+@query("string_index_skip")
+def q_string_index_skip(spark, sf):
+    return en.index_strings(_prepared(spark, sf), "currency2", "currency_indexed", "skip") \
+        .select("project_id", "currency2", "currency_indexed")
+
+
+@query("string_index_keep")
+def q_string_index_keep(spark, sf):
+    return en.index_strings(_prepared(spark, sf), "currency2", "currency_indexed", "keep") \
+        .select("project_id", "currency2", "currency_indexed")
+
+
+@query("one_hot")
+def q_one_hot(spark, sf):
+    docs = readers.read_table(spark, sf, "documents").select("doc_id", "source")
+    indexed = en.index_strings(docs, "source", "source_index", "error")
+    hot = en.one_hot_stage("source_index", "source_vec").fit(indexed).transform(indexed)
+    return hot.select("doc_id", "source", en.vector_size("source_vec").alias("n_slots"),
+                      en.one_hot_slot("source_vec").alias("slot"))
+
+
+@query("assemble_features")
+def q_assemble_features(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    docs = fx.labelled_docs(spark, sf)
+    stages, _ = md.feature_stages(min_df=TEXT_MIN_DF)
+    feats = Pipeline(stages=stages).fit(docs).transform(docs)
+    arr = vector_to_array(F.col("features"))
+    n = F.size(arr)
+    return feats.select(
+        "doc_id", n.alias("n_features"),
+        F.round(F.aggregate(F.slice(arr, 1, n - 5), F.lit(0.0), lambda a, x: a + x), 6)
+        .alias("tfidf_sum"),
+        *[F.round(F.element_at(arr, -5 + i), 6).alias(c) for i, c in enumerate(
+            ["days_campaign", "hours_prepa", "goal", "country_indexed", "currency_indexed"])])
+
+
+# ---------------------------------------------------------------- decisions and metrics
+
+def _scored_by_rule(spark, sf):
+    """Labelled rows with a deterministic p(1) and the thresholded class."""
+    docs = fx.labelled_docs(spark, sf)
+    p1 = (F.col("doc_id") % 97) / F.lit(96.0)
+    return docs.select("doc_id", "final_status", p1.alias("p1")).withColumn(
+        ev.PREDICTION_COL, ev.threshold_prediction(F.array(1 - F.col("p1"), F.col("p1"))))
+
+
+@query("threshold_predict")
+def q_threshold_predict(spark, sf):
+    return _scored_by_rule(spark, sf).select("doc_id", "final_status", _round("p1"),
+                                             ev.PREDICTION_COL)
+
+
+@query("f1_score")
+def q_f1_score(spark, sf):
+    return ev.weighted_f1(_scored_by_rule(spark, sf)).select(_round("f1"))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return ev.confusion_matrix(_scored_by_rule(spark, sf))
+
+
+# ---------------------------------------------------------------- fit, search, persistence
+
+def _scores(scored):
+    return scored.select("doc_id", ev.LABEL_COL, ev.PREDICTION_COL,
+                         F.round(tr.probability_of_one(), 6).alias("p1"))
+
+
+@query("logistic_fit")
+def q_logistic_fit(spark, sf):
+    docs = fx.labelled_docs(spark, sf)
+    model = tr.fit_pipeline(docs, TEXT_MIN_DF, FIT_REG_PARAM)
+    return _scores(model.transform(docs))
+
+
+@query("split_seeded")
+def q_split_seeded(spark, sf):
+    train, test = md.split(fx.labelled_docs(spark, sf))
+    return (train.select("doc_id", F.lit(0).alias("part"))
+            .unionByName(test.select("doc_id", F.lit(1).alias("part"))))
+
+
+@query("pipeline_predict")
+def q_pipeline_predict(spark, sf):
+    train, test = md.split(fx.labelled_docs(spark, sf))
+    model = tr.fit_pipeline(train, TEXT_MIN_DF, FIT_REG_PARAM)
+    return _scores(model.transform(test))
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    res = tr.train(spark, fx.labelled_docs(spark, sf), min_dfs=LABELLED_MIN_DFS)
+    return res.grid.withColumnRenamed("metric", "f1")
+
+
+@query("best_params")
+def q_best_params(spark, sf):
+    res = tr.train(spark, fx.labelled_docs(spark, sf), min_dfs=LABELLED_MIN_DFS)
+    best = md.best_params(res.search.bestModel)
+    f1_test = ev.weighted_f1(res.scored).first()["f1"]
+    return spark.createDataFrame(
+        [(best["min_df"], best["reg_param"], float(f1_test))],
+        "min_df double, reg_param double, test_f1 double")
+
+
+@query("cross_validate")
+def q_cross_validate(spark, sf):
+    res = tr.train(spark, fx.labelled_docs(spark, sf), min_dfs=LABELLED_MIN_DFS, num_folds=3)
+    return res.grid.withColumnRenamed("metric", "f1")
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    from pyspark.ml import PipelineModel
+    train, test = md.split(fx.labelled_docs(spark, sf))
+    model = tr.fit_pipeline(train, TEXT_MIN_DF, FIT_REG_PARAM)
+    path = scratch_path(spark, "pipeline_model")
+    sinks.save_model(model, path)
+    return _scores(PipelineModel.load(path).transform(test))
+
+
+@query("predictions_sink")
+def q_predictions_sink(spark, sf):
+    train, test = md.split(fx.labelled_docs(spark, sf))
+    model = tr.fit_pipeline(train, TEXT_MIN_DF, FIT_REG_PARAM)
+    scored = model.transform(test)
+    path = scratch_path(spark, "predictions")
+    sinks.write_predictions(scored, path, ("doc_id", "features", ev.LABEL_COL,
+                                           ev.PREDICTION_COL, ev.RAW_PREDICTION_COL))
+    return readers.read_parquet(spark, path)

@@ -268,3 +268,149 @@ SQL: dict[str, str] = {
     "prepare_campaigns": PREPARED_SELECT,
     "prepare_campaigns_elapsed": _CE + "select * from elapsed",
 }
+
+
+# ---------------------------------------------------------------- text features
+
+def _sql_list(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+def _stop_words_sql() -> str:
+    from fundscope.functions.stopwords import default_stop_words
+    return _sql_list(default_stop_words())
+
+
+TEXT_MIN_DF = 5
+
+TOKS = r"""
+toks as (
+  select doc_id, list_filter(regexp_split_to_array(lower(text), '\W+'), lambda x: length(x) >= 1)
+         as tokens
+  from src
+)"""
+
+FILT = """
+filt as (
+  select doc_id, list_filter(tokens, lambda x: lower(x) not in ({sw})) as filtered from toks
+)"""
+
+TF = """
+tf as (
+  select doc_id, term, count(*) as tf
+  from (select doc_id, unnest(filtered) as term from filt) group by doc_id, term
+)"""
+
+VOCAB = """
+vocab as (
+  select term, count(*) as doc_freq, cast(sum(tf) as bigint) as term_count
+  from tf group by term having count(*) >= {min_df}
+)"""
+
+IDF = """
+idf as (
+  select term, doc_freq,
+         ln(((select count(*) from src) + 1.0) / (doc_freq + 1.0)) as idf
+  from vocab
+)"""
+
+SRC_DOCS = "src as (select doc_id, text from documents)"
+LABELLED = """
+src as (
+  select doc_id, text, lang as country2, source as currency2, cast(n_chars as integer) as goal,
+         cast(length(split_part(text, chr(10), 1)) as integer) as days_campaign,
+         n_chars / 3600.0 as hours_prepa, quality as final_status
+  from documents join labels using (doc_id)
+)"""
+
+RULE = """
+rule as (
+  select doc_id, final_status, (doc_id % 97) / 96.0 as p1,
+         case when ((doc_id % 97) / 96.0) / 0.3 > (1 - (doc_id % 97) / 96.0) / 0.7
+              then 1.0 else 0.0 end as predictions
+  from src
+)"""
+
+
+def _text_sql() -> dict[str, str]:
+    sw = _stop_words_sql()
+    filt = FILT.format(sw=sw)
+    vocab = VOCAB.format(min_df=TEXT_MIN_DF)
+    base = with_(SRC_DOCS, TOKS, filt, TF)
+    vocab_q = with_(SRC_DOCS, TOKS, filt, TF, vocab)
+    idf_q = with_(SRC_DOCS, TOKS, filt, TF, vocab, IDF)
+    capped = """
+capped as (
+  select term from (select term, count(*) as doc_freq, sum(tf) as term_count from tf group by term)
+  order by term_count desc, term asc limit 50
+)"""
+    labels_rank = """
+lab as (
+  select {c} as v, cast(row_number() over (order by count(*) desc, {c} asc) - 1 as double) as idx
+  from {t} where {c} is not null group by {c}
+)"""
+    prepared_lab = labels_rank.format(c="currency2", t="prepared")
+    source_lab = labels_rank.format(c="source", t="documents")
+    lab_vocab = VOCAB.format(min_df=TEXT_MIN_DF)
+    lab_c = labels_rank.format(c="country2", t="src").replace("lab as", "lab_c as")
+    lab_u = labels_rank.format(c="currency2", t="src").replace("lab as", "lab_u as")
+    return {
+        "regex_tokenize": with_(SRC_DOCS, TOKS) + """select doc_id,
+            cast(generate_subscripts(tokens, 1) - 1 as integer) as pos, unnest(tokens) as token
+            from toks""",
+        "remove_stop_words": with_(SRC_DOCS, TOKS, filt) + """select doc_id,
+            cast(generate_subscripts(filtered, 1) - 1 as integer) as pos, unnest(filtered) as token
+            from filt""",
+        "vocabulary": vocab_q + "select term, doc_freq, term_count from vocab",
+        "count_vectorize": vocab_q
+        + "select doc_id, term, tf as count from tf where term in (select term from vocab)",
+        "count_vectorize_capped": base.rstrip("\n") + "," + capped + "\n"
+        + "select doc_id, term, tf as count from tf where term in (select term from capped)",
+        "idf_weights": idf_q + "select term, doc_freq, round(idf, 6) as idf from idf",
+        "tf_idf": idf_q + """select doc_id, term, tf, round(tf * idf, 6) as tfidf
+            from tf join idf using (term)""",
+        "string_index": with_(source_lab)
+        + "select doc_id, source, idx as source_index from documents join lab on source = v",
+        "string_index_skip": _CP + "," + prepared_lab.strip() + "\n"
+        + """select project_id, currency2, idx as currency_indexed
+            from prepared join lab on currency2 = v""",
+        "string_index_keep": _CP + "," + prepared_lab.strip() + "\n"
+        + """select project_id, currency2,
+            coalesce(idx, cast((select count(*) from lab) as double)) as currency_indexed
+            from prepared left join lab on currency2 = v""",
+        "one_hot": with_(source_lab) + """select doc_id, source,
+            cast((select count(*) from lab) - 1 as integer) as n_slots,
+            case when idx < (select count(*) from lab) - 1 then cast(idx as integer) end as slot
+            from documents join lab on source = v""",
+        "assemble_features": with_(LABELLED, TOKS, filt, TF, lab_vocab, IDF, lab_c, lab_u) + """,
+          tsum as (select doc_id, sum(tf * idf) as s from tf join idf using (term) group by doc_id)
+          select doc_id, cast((select count(*) from vocab) + 5 as integer) as n_features,
+                 round(coalesce(s, 0.0), 6) as tfidf_sum,
+                 round(cast(days_campaign as double), 6) as days_campaign,
+                 round(hours_prepa, 6) as hours_prepa,
+                 round(cast(goal as double), 6) as goal,
+                 round(lab_c.idx, 6) as country_indexed,
+                 round(lab_u.idx, 6) as currency_indexed
+          from src left join tsum using (doc_id)
+          join lab_c on country2 = lab_c.v join lab_u on currency2 = lab_u.v""",
+        "threshold_predict": with_(LABELLED, RULE)
+        + "select doc_id, final_status, round(p1, 6) as p1, predictions from rule",
+        "f1_score": with_(LABELLED, RULE) + """,
+          pairs as (select cast(final_status as double) as y, predictions as p, count(*) as n
+                    from rule group by all),
+          by_true as (select y as cls, sum(n) as n_true,
+                             sum(case when y = p then n else 0 end) as tp from pairs group by y),
+          by_pred as (select p as cls, sum(n) as n_pred from pairs group by p),
+          per as (select n_true, tp, coalesce(n_pred, 0) as n_pred
+                  from by_true left join by_pred using (cls)),
+          f as (select n_true,
+                  case when n_pred > 0 then tp / n_pred else 0.0 end as pr,
+                  tp / n_true as rc from per)
+          select round(sum(case when pr + rc > 0 then 2 * pr * rc / (pr + rc) else 0.0 end * n_true)
+                       / sum(n_true), 6) as f1 from f""",
+        "confusion_matrix": with_(LABELLED, RULE)
+        + "select final_status, predictions, count(*) as count from rule group by all",
+    }
+
+
+SQL.update(_text_sql())
