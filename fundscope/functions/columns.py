@@ -8,8 +8,6 @@ a ``Column``.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,7 +23,13 @@ QUOTE_RUN_PATTERN = '"{2,}'          # two or more double quotes in a row
 TOKEN_GAP_PATTERN = r"\W+"           # tokenizer gap: a run of non-word characters
 NULL_WORD = "null"                   # how string concatenation prints a null
 
-_EPOCH_NTZ = _dt.datetime(1970, 1, 1)
+EPOCH_NTZ_TEXT = "1970-01-01 00:00:00"
+
+
+def _epoch_ntz() -> Column:
+    # A string cast to timestamp_ntz carries no zone; a Python datetime literal
+    # would be a zoned TIMESTAMP and shift with the session time zone.
+    return F.lit(EPOCH_NTZ_TEXT).cast("timestamp_ntz")
 
 
 def _c(col) -> Column:
@@ -74,8 +78,7 @@ def collapse_quote_runs(col, replacement: str = " ") -> Column:
 
 def ntz_to_epoch(col) -> Column:
     """Seconds since 1970-01-01 00:00:00 of a zone-less timestamp (bigint)."""
-    return F.timestamp_diff("SECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"),
-                            _c(col).cast("timestamp_ntz"))
+    return F.timestamp_diff("SECOND", _epoch_ntz(), _c(col).cast("timestamp_ntz"))
 
 
 def epoch_to_text(col, tz: str | None = "UTC", fmt: str = EPOCH_TEXT_FORMAT) -> Column:
@@ -86,8 +89,7 @@ def epoch_to_text(col, tz: str | None = "UTC", fmt: str = EPOCH_TEXT_FORMAT) ->
     """
     if tz is None:
         return F.from_unixtime(_c(col), fmt)
-    local = F.timestamp_add("SECOND", _c(col).cast("bigint"),
-                            F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    local = F.timestamp_add("SECOND", _c(col).cast("bigint"), _epoch_ntz())
     if tz.upper() not in ("UTC", "ETC/UTC", "Z", "GMT"):
         local = F.convert_timezone(F.lit("UTC"), F.lit(tz), local)
     return F.date_format(local, fmt)

@@ -42,12 +42,17 @@ def remove_stop_words(df: DataFrame, input_col: str = "tokens", output_col: str
 
 def explode_positions(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """(id, pos, token): the token stream of each document, 0-based."""
-    return df.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
+    # ``explode_outer`` + a null test on the output: a plain ``explode`` makes
+    # the optimizer add ``size(tokens) > 0`` under the projection, which runs
+    # the whole tokenizer a second time for every row.
+    return (df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "token"))
+              .filter(F.col("token").isNotNull()))
 
 
 def term_frequencies(df: DataFrame, id_col: str = "doc_id", tokens_col: str = "filtered") -> DataFrame:
     """(id, term, tf): count of each term in each document."""
-    return (df.select(id_col, F.explode(tokens_col).alias("term"))
+    return (df.select(id_col, F.explode_outer(tokens_col).alias("term"))
+              .filter(F.col("term").isNotNull())
               .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -83,20 +88,27 @@ def idf_weights(vocab: DataFrame, docs: DataFrame, min_doc_freq: int = 0) -> Dat
     """(term, doc_freq, idf) with idf = ln((N + 1) / (df + 1)); 0 below ``min_doc_freq``."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     idf = F.log((n_docs + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))
-    return vocab.select("term", "doc_freq",
+    return vocab.select("term", "doc_freq", "term_count",
                         F.when(F.col("doc_freq") >= min_doc_freq, idf).otherwise(F.lit(0.0))
                         .alias("idf"))
 
 
 def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(id, term, tf) for vocabulary terms only (a semi join on ``term``)."""
-    return tf.join(vocab.select("term"), "term", "left_semi")
+    """(id, term, tf) for vocabulary terms only.
+
+    The vocabulary side keeps ``term_count`` so that both sides are built from
+    the same (document, term) aggregation, which Spark then computes once and
+    reuses (one tokenizing pass over the documents instead of two).
+    """
+    v = vocab.select("term", F.col("term_count").alias("_tc")).filter(F.col("_tc") > 0)
+    return tf.join(v, "term", "left_semi")
 
 
 def tf_idf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """(id, term, tf, tfidf) for vocabulary terms."""
-    return (tf.join(idf.select("term", "idf"), "term")
-              .withColumn("tfidf", F.col("tf") * F.col("idf")).drop("idf"))
+    v = idf.select("term", "idf", F.col("term_count").alias("_tc")).filter(F.col("_tc") > 0)
+    return (tf.join(v, "term")
+              .withColumn("tfidf", F.col("tf") * F.col("idf")).drop("idf", "_tc"))
 
 
 # ---------------------------------------------------------------- ML stages

@@ -14,7 +14,10 @@ from fundscope.functions.columns import split_on_space
 
 
 def split_words(lines: DataFrame, line_col: str = "value", keep=()) -> DataFrame:
-    return lines.select(*keep, F.explode(split_on_space(line_col)).alias("word"))
+    # explode_outer + null test: a plain explode adds a size() > 0 filter
+    # under the projection that evaluates the split twice per line.
+    return (lines.select(*keep, F.explode_outer(split_on_space(line_col)).alias("word"))
+                 .filter(F.col("word").isNotNull()))
 
 
 def word_count(lines: DataFrame, line_col: str = "value", sort: bool = True) -> DataFrame:

@@ -49,12 +49,13 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_shipdate")
-    orders = read_table(spark, sf_dir, "orders").select(
+    orders = read_table(spark, sf_dir, "orders", spread=False).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    customer = read_table(spark, sf_dir, "customer").select(
+    customer = read_table(spark, sf_dir, "customer", spread=False).select(
         "c_custkey", "c_nationkey", "c_mktsegment")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
+    nation = read_table(spark, sf_dir, "nation", spread=False).select("n_nationkey")
+    part = read_table(spark, sf_dir, "part", spread=False).select(
+        "p_partkey", "p_name", "p_type", "p_brand")
 
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -94,7 +95,7 @@ def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` joined to ``labels`` in the shape of the prepared set."""
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", "source", "n_chars")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labels = read_table(spark, sf_dir, "labels", spread=False).select("doc_id", "quality")
     j = docs.join(labels, "doc_id")
     return j.select(
         F.col("doc_id"),
@@ -131,7 +132,8 @@ def quoted_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of every document, as a text scan of the documents would give."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select("doc_id", F.explode(split_lines("text")).alias("value"))
+    return (docs.select("doc_id", F.explode_outer(split_lines("text")).alias("value"))
+                .filter(F.col("value").isNotNull()))
 
 
 def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
