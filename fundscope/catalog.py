@@ -541,3 +541,26 @@ def q_predictions_sink(spark, sf):
     sinks.write_predictions(scored, path, ("doc_id", "features", ev.LABEL_COL,
                                            ev.PREDICTION_COL, ev.RAW_PREDICTION_COL))
     return readers.read_parquet(spark, path)
+
+
+# ---------------------------------------------------------------- incremental (Structured Streaming)
+
+from fundscope.streaming import incremental as inc  # noqa: E402
+
+
+@query("prepare_campaigns_incremental")
+def q_prepare_campaigns_incremental(spark, sf):
+    csv = scratch_path(spark, "campaigns_csv_stream")
+    sinks.write_sentinel_csv(fx.campaigns(spark, sf), csv)
+    out = scratch_path(spark, "prepared_stream")
+    inc.start_prepare_stream(spark, csv, out).awaitTermination()
+    return readers.read_parquet(spark, out)
+
+
+@query("word_count_incremental")
+def q_word_count_incremental(spark, sf):
+    txt = scratch_path(spark, "documents_txt_stream")
+    sinks.write_text(readers.read_table(spark, sf, "documents"), txt, "text")
+    out = scratch_path(spark, "word_counts_stream")
+    inc.start_word_count_stream(spark, txt, out).awaitTermination()
+    return readers.read_parquet(spark, out)

@@ -414,3 +414,5 @@ lab as (
 
 
 SQL.update(_text_sql())
+SQL["prepare_campaigns_incremental"] = SQL["prepare_campaigns"]
+SQL["word_count_incremental"] = with_(LINES, WORDS) + "select word, count(*) as count from words group by word"
