@@ -95,7 +95,7 @@ def test_param_grids():
     assert first[lr.regParam] == 1e-8 and first[cv.minDF] == 55.0
 
 
-def test_search_best_is_max_and_model_roundtrip(spark, tmp_path):
+def test_search_best_is_max_and_model_roundtrip(spark):
     from pyspark.ml import PipelineModel
     labelled = fx.labelled_docs(spark, SF_SMALL)
     res = tr.train(spark, labelled, reg_params=(1e-6, 1e-2), min_dfs=(2.0, 4.0))
@@ -103,7 +103,8 @@ def test_search_best_is_max_and_model_roundtrip(spark, tmp_path):
     best = max(grid, key=lambda r: r.metric)
     params = md.best_params(res.search.bestModel)
     assert (params["min_df"], params["reg_param"]) == (best.min_df, best.reg_param)
-    path = str(tmp_path / "model")
+    from fundscope.session import scratch_path
+    path = scratch_path(spark, "model")
     res.model.write().overwrite().save(path)
     again = PipelineModel.load(path)
     test = res.test.select(*labelled.columns)
