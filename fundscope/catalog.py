@@ -500,6 +500,23 @@ def q_pipeline_predict(spark, sf):
     return _scores(model.transform(test))
 
 
+def _grid_vocabulary(spark, sf, reg_params, min_dfs):
+    docs = tx.remove_stop_words(tx.tokenize(fx.labelled_docs(spark, sf)))
+    lr, cv = md.logistic_regression(), tx.count_vectorizer_stage()
+    grid = md.param_grid(lr, cv, reg_params, min_dfs)
+    return md.grid_vocabulary(spark, grid, lr, cv, tx.term_frequencies(docs), docs)
+
+
+@query("param_grid")
+def q_param_grid(spark, sf):
+    return _grid_vocabulary(spark, sf, md.REG_PARAMS, md.MIN_DFS)
+
+
+@query("param_grid_large")
+def q_param_grid_large(spark, sf):
+    return _grid_vocabulary(spark, sf, md.LARGE_GRID_REG, md.LARGE_GRID_MIN_DF)
+
+
 @query("grid_search")
 def q_grid_search(spark, sf):
     res = tr.train(spark, fx.labelled_docs(spark, sf), min_dfs=LABELLED_MIN_DFS)

@@ -123,3 +123,29 @@ def best_params(pipeline_model) -> dict:
         if isinstance(stage, LogisticRegressionModel):
             out["reg_param"] = float(stage.getRegParam())
     return out
+
+
+def grid_vocabulary(spark, grid, lr, cv, tf: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    """Each candidate with the number of vocabulary terms its ``minDF`` keeps.
+
+    A large ``minDF`` can empty the vocabulary of a small table, and the fit
+    then fails; this checks the grid against the data before any fit.  Each
+    term emits the thresholds it reaches (at most one row per distinct
+    ``minDF``), so the sizes come from one aggregation and an equi-join with
+    the (tiny) candidate table.
+    """
+    from pyspark.sql import functions as F
+    table = grid_table(spark, grid, lr, cv)
+    mins = sorted({float(m[cv.minDF]) for m in grid})
+    n_docs = None
+    if any(m < 1.0 for m in mins):
+        n_docs = docs.select(F.count(F.lit(1))).scalar()
+    thresholds = F.array(*[F.lit(m) for m in mins])
+    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    reached = stats.select(F.explode(F.filter(
+        thresholds,
+        lambda m: F.col("doc_freq") >= F.when(m >= 1.0, m).otherwise(m * (n_docs if n_docs is not None else F.lit(0.0)))
+    )).alias("min_df"))
+    sizes = reached.groupBy("min_df").agg(F.count(F.lit(1)).alias("vocab_terms"))
+    return (table.join(sizes, "min_df", "left").fillna(0, ["vocab_terms"])
+                 .select("candidate", "reg_param", "min_df", "vocab_terms"))

@@ -415,4 +415,24 @@ lab as (
 
 SQL.update(_text_sql())
 SQL["prepare_campaigns_incremental"] = SQL["prepare_campaigns"]
+
+
+def _grid_sql(reg_params, min_dfs) -> str:
+    values = ", ".join(f"({i * len(min_dfs) + j}, {r!r}::double, {m!r}::double)"
+                       for i, r in enumerate(reg_params) for j, m in enumerate(min_dfs))
+    return with_(LABELLED, TOKS, FILT.format(sw=_stop_words_sql()), TF) + f""",
+      stats as (select term, count(*) as doc_freq from tf group by term),
+      grid as (select * from (values {values}) g(candidate, reg_param, min_df))
+      select cast(candidate as integer) as candidate, reg_param, min_df,
+             (select count(*) from stats where doc_freq >= min_df) as vocab_terms
+      from grid"""
+
+
+def _grids():
+    from fundscope.operators import model as md
+    return {"param_grid": _grid_sql(md.REG_PARAMS, md.MIN_DFS),
+            "param_grid_large": _grid_sql(md.LARGE_GRID_REG, md.LARGE_GRID_MIN_DF)}
+
+
+SQL.update(_grids())
 SQL["word_count_incremental"] = with_(LINES, WORDS) + "select word, count(*) as count from words group by word"
