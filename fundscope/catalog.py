@@ -67,7 +67,7 @@ def q_text_scan(spark, sf):
 
 @query("parquet_scan")
 def q_parquet_scan(spark, sf):
-    return readers.read_table(spark, sf, "lineitem")
+    return readers.read_table(spark, sf, "lineitem", spread=False)
 
 
 # ---------------------------------------------------------------- sinks
@@ -103,17 +103,18 @@ def q_csv_sink_delimited(spark, sf):
 
 @query("row_count")
 def q_row_count(spark, sf):
-    return pr.row_count(readers.read_table(spark, sf, "lineitem"))
+    return pr.row_count(readers.read_table(spark, sf, "lineitem", spread=False))
 
 
 @query("schema_profile")
 def q_schema_profile(spark, sf):
-    return pr.schema_profile(readers.read_table(spark, sf, "lineitem"))
+    return pr.schema_profile(readers.read_table(spark, sf, "lineitem", spread=False))
 
 
 @query("head_n")
 def q_head_n(spark, sf):
-    return pr.head_n(readers.read_table(spark, sf, "orders"), 20, order_by="o_orderkey")
+    return pr.head_n(readers.read_table(spark, sf, "orders", spread=False), 20,
+                     order_by="o_orderkey")
 
 
 @query("describe_numeric")
