@@ -41,11 +41,13 @@ def logistic_regression(label: str = ev.LABEL_COL, features: str = "features",
 
 def feature_stages(min_df: float = 1.0, vocab_size: int = tx.DEFAULT_VOCAB_SIZE,
                    use_idf: bool = True, one_hot: bool = False, tokenize: bool = True,
-                   handle_invalid: str = "keep"):
+                   handle_invalid: str = "keep", text_first: bool = True):
     """Stages from text to the assembled ``features`` vector.
 
     ``tokenize=False`` leaves out the stateless tokenizer and stop-word
     remover, for inputs that already hold ``filtered`` (see ``pretokenize``).
+    ``use_idf=False`` assembles raw term counts; ``one_hot`` encodes both
+    indices; ``text_first=False`` puts ``days_campaign`` before the text vector.
     """
     stages = [tx.tokenizer_stage(), tx.stop_words_stage()] if tokenize else []
     cv = tx.count_vectorizer_stage(min_df=min_df, vocab_size=vocab_size)
@@ -61,8 +63,8 @@ def feature_stages(min_df: float = 1.0, vocab_size: int = tx.DEFAULT_VOCAB_SIZE,
         stages += [en.one_hot_stage("country_indexed", "country_onehot"),
                    en.one_hot_stage("currency_indexed", "currency_onehot")]
         country, currency = "country_onehot", "currency_onehot"
-    stages.append(en.assembler_stage(
-        (text_col, "days_campaign", "hours_prepa", "goal", country, currency)))
+    head = (text_col, "days_campaign") if text_first else ("days_campaign", text_col)
+    stages.append(en.assembler_stage(head + ("hours_prepa", "goal", country, currency)))
     return stages, cv
 
 

@@ -121,3 +121,34 @@ def test_one_hot_slots(spark):
     n = df[0].n_slots
     assert all(r.n_slots == n for r in df)
     assert {r.slot for r in df} == set(range(n)) | {None}
+
+
+@pytest.mark.parametrize("kw, n_stages", [
+    ({"use_idf": False}, 7),
+    ({"one_hot": True}, 10),
+    ({"use_idf": False, "one_hot": True, "text_first": False}, 9),   # TF only, one-hot, days first
+])
+def test_pipeline_variants(spark, kw, n_stages):
+    labelled = fx.labelled_docs(spark, SF_SMALL)
+    pipeline, _, _ = md.build_pipeline(min_df=2.0, reg_param=1e-4, **kw)
+    assert len(pipeline.getStages()) == n_stages
+    model = pipeline.fit(labelled)
+    scored = model.transform(labelled)
+    assert scored.count() == labelled.count()
+    p1 = tr.probability_of_one()
+    assert scored.filter((p1 > 0.3) != (F.col(ev.PREDICTION_COL) == 1.0)).count() == 0
+
+
+def test_train_job_end_to_end(spark):
+    from pyspark.ml import PipelineModel
+    from fundscope.plans import prepare as pp
+    from fundscope.session import scratch_path
+    from fundscope.sources import sinks
+    src = scratch_path(spark, "prepared")
+    sinks.write_parquet(fx.labelled_docs(spark, SF_SMALL), src)
+    out = tr.run_train_job(spark, src, scratch_path(spark, "model"), scratch_path(spark, "pred"),
+                           reg_params=(1e-4,), min_dfs=(2.0,))
+    assert 0.0 <= out.f1 <= 1.0
+    conf = out.confusion.collect()
+    assert sum(r["count"] for r in conf) == readers.read_parquet(spark, out.predictions_path).count()
+    assert PipelineModel.load(out.model_path) is not None
