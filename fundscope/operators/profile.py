@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 
 DESCRIBE_STATS = ("count", "mean", "stddev", "min", "max")
 
+# Every text the double cast can parse starts (after blanks and a sign) with a
+# digit, a dot, "inf", "nan" or "0x"; testing that first skips the failing
+# parse, which costs an exception per value, for ordinary text.
+_MAYBE_NUMBER = r"(?i)^\s*[+-]?(\d|\.|inf|nan|0x)"
+
+
+def _text_as_double(col):
+    return F.when(col.rlike(_MAYBE_NUMBER), col.try_cast("double"))
+
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
@@ -62,7 +71,7 @@ def describe(df: DataFrame, cols=None, digits: int | None = 4) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         col = F.col(f"`{c}`")
-        as_num = col.cast("double") if all_numeric else col.try_cast("double")
+        as_num = col.cast("double") if all_numeric else _text_as_double(col)
         mean, std = F.avg(as_num), F.stddev_samp(as_num)
         if all_numeric and digits is not None:
             mean, std = F.round(mean, digits), F.round(std, digits)

@@ -45,13 +45,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Schemas of the (immutable) input tables, learned on the first read in this
+# process.  Without a schema every ``spark.read.parquet`` runs a job to read
+# Parquet footers before the query is even planned.
+_TABLE_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One of the driver tables, ``<sf_dir>/<name>.parquet``.
 
     ``spread``: see ``spread_small_scan``; dimension tables that are joined by
     broadcast pass ``False``.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _TABLE_SCHEMAS.get(path)
+    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
+    _TABLE_SCHEMAS.setdefault(path, df.schema)
     return spread_small_scan(spark, df) if spread else df
 
 

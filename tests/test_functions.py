@@ -97,3 +97,15 @@ def test_no_python_udf_in_cleaning_job(spark, capsys):
     plan = capsys.readouterr().out
     assert "EvalPython" not in plan and "PythonUDF" not in plan
     assert plan.count("lineitem.parquet") == 1
+
+
+def test_describe_number_prefilter_equals_try_cast(spark):
+    from fundscope.operators.profile import _text_as_double
+    vals = [" 12", "-.5", "+3e2", "NaN", "nan", "Infinity", "-Infinity", "inf", "1d", "2F",
+            "0x1p3", "abc", "N12", "", " ", None, "1,5", ".", "e5", "Brand#13"]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    rows = df.select(_text_as_double(F.col("x")).alias("a"),
+                     F.col("x").try_cast("double").alias("b")).collect()
+    for v, r in zip(vals, rows):
+        same = (r.a == r.b) or (r.a is None and r.b is None) or (r.a != r.a and r.b != r.b)
+        assert same, (v, r.a, r.b)
