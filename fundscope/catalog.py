@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 
 from fundscope.functions import columns as fc
 from fundscope.operators import cleaning as cl
+from fundscope.operators import encode as en
+from fundscope.operators import evaluate as ev
+from fundscope.operators import model as md
 from fundscope.operators import profile as pr
+from fundscope.operators import text as tx
 from fundscope.operators import wordcount as wc
 from fundscope.plans import prepare as pp
+from fundscope.plans import train as tr
 from fundscope.session import scratch_path
 from fundscope.sources import fixtures as fx
 from fundscope.sources import readers, sinks
+from fundscope.streaming import incremental as inc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -322,11 +328,6 @@ def q_prepare_campaigns_elapsed(spark, sf):
 
 # ---------------------------------------------------------------- text features
 
-from fundscope.operators import encode as en  # noqa: E402
-from fundscope.operators import evaluate as ev  # noqa: E402
-from fundscope.operators import model as md  # noqa: E402
-from fundscope.operators import text as tx  # noqa: E402
-from fundscope.plans import train as tr  # noqa: E402
 
 # Fixed values of the text queries.  The labelled table is small, so minDF is
 # 5 / 10 / 20 there (55 / 75 / 95 empty the vocabulary of a few hundred rows).
@@ -563,7 +564,6 @@ def q_predictions_sink(spark, sf):
 
 # ---------------------------------------------------------------- incremental (Structured Streaming)
 
-from fundscope.streaming import incremental as inc  # noqa: E402
 
 
 @query("prepare_campaigns_incremental")

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnLike = "str | Column"
-
 # Fixed values the rules depend on.
 SENTINEL_TEXT = "false"              # text that means "missing" in the raw CSV
 CURRENCY_CODE_LENGTH = 3             # a valid currency code has three characters
