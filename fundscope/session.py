@@ -9,6 +9,7 @@ when the session has none, as in unit tests on ``local[*]``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -72,6 +73,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+_HAS_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*:")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root.
 
@@ -79,6 +83,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     the path may be on any Hadoop file system.
     """
     root = ensure_checkpoint_dir(spark)
-    if "://" not in root and not root.startswith("/"):
+    # A URI keeps its scheme (``file:/tmp/x`` has no ``//``); only a bare
+    # relative path is made absolute.
+    if not _HAS_SCHEME.match(root) and not root.startswith("/"):
         root = os.path.abspath(root)
     return f"{root.rstrip('/')}/fundscope-scratch/{uuid.uuid4().hex}/{name}"
