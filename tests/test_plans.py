@@ -61,3 +61,18 @@ def test_top_k_is_a_limit_of_value_counts(spark):
     top = QUERIES["top_k"](spark, SF_SMALL).collect()
     counts = [r["count"] for r in top]
     assert counts == sorted(counts, reverse=True) and len(top) <= 100
+
+
+def test_scratch_paths_stay_under_the_checkpoint_root(spark):
+    import os
+    import re
+    from fundscope.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, "probe")
+    assert path.startswith(root.rstrip("/"))
+    local = re.sub(r"^file:", "", path)
+    assert local.startswith("/")                     # a URI or an absolute path, never relative
+    spark.range(3).write.parquet(path)
+    if path.startswith("file:") or path.startswith("/"):
+        assert os.path.isdir(local)
+    assert not os.path.exists(os.path.join(os.getcwd(), "file:"))
