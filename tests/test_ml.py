@@ -147,8 +147,13 @@ def test_train_job_end_to_end(spark):
     src = scratch_path(spark, "prepared")
     sinks.write_parquet(fx.labelled_docs(spark, SF_SMALL), src)
     out = tr.run_train_job(spark, src, scratch_path(spark, "model"), scratch_path(spark, "pred"),
-                           reg_params=(1e-4,), min_dfs=(2.0,))
+                           search_path=scratch_path(spark, "search"),
+                           reg_params=(1e-4, 1e-2), min_dfs=(2.0,))
     assert 0.0 <= out.f1 <= 1.0
     conf = out.confusion.collect()
     assert sum(r["count"] for r in conf) == readers.read_parquet(spark, out.predictions_path).count()
     assert PipelineModel.load(out.model_path) is not None
+    from pyspark.ml.tuning import TrainValidationSplitModel
+    reloaded = TrainValidationSplitModel.load(out.search_path)
+    assert [round(m, 9) for m in reloaded.validationMetrics] == \
+           [round(r.metric, 9) for r in out.grid.orderBy("candidate").collect()]
