@@ -76,3 +76,29 @@ def test_scratch_paths_stay_under_the_checkpoint_root(spark):
     if path.startswith("file:") or path.startswith("/"):
         assert os.path.isdir(local)
     assert not os.path.exists(os.path.join(os.getcwd(), "file:"))
+
+
+def _plan(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_hot_keys_are_pre_aggregated_before_the_shuffle(spark, capsys):
+    from pyspark.sql import functions as F
+    from fundscope.operators import cleaning as cl
+    from fundscope.operators import profile as pr
+    from fundscope.operators import wordcount as wc
+    # one value holds a third of all rows
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                   .otherwise(F.col("id").cast("string")).alias("v"))
+    counts = {r.v: r["count"] for r in pr.value_counts(df, "v").collect() if r.v == "hot"}
+    assert counts == {"hot": 10000}
+    for q in (pr.value_counts(df, "v", sort=False),
+              cl.drop_duplicates(df),
+              wc.word_count(df.select(F.col("v").alias("value")), sort=False)):
+        plan = _plan(q, capsys)
+        lines = plan.splitlines()
+        first_exchange = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln)
+        assert any("HashAggregate" in ln and ("partial_" in ln or "functions=[]" in ln)
+                   for ln in lines[first_exchange + 1:]), plan
