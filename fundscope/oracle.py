@@ -327,7 +327,7 @@ RULE = """
 rule as (
   select doc_id, final_status, (doc_id % 97) / 96.0 as p1,
          case when ((doc_id % 97) / 96.0) / 0.3 > (1 - (doc_id % 97) / 96.0) / 0.7
-              then 1.0 else 0.0 end as predictions
+              then 1.0::double else 0.0::double end as predictions
   from src
 )"""
 

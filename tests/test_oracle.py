@@ -7,6 +7,8 @@ from tools.check_oracle import digest
 from tests.conftest import SF_SMALL
 
 SQL_KEYS = sorted(se.oracle_sql())
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float"}
 
 
 @pytest.mark.parametrize("key", SQL_KEYS)
@@ -17,6 +19,9 @@ def test_query_matches_oracle(spark, duck, key):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    duck_types = {d[0]: DUCK_TO_SPARK.get(str(d[1]), str(d[1])) for d in res.description}
+    assert spark_types == duck_types
     assert len(rows) == len(orows)
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
 
