@@ -102,3 +102,15 @@ def test_hot_keys_are_pre_aggregated_before_the_shuffle(spark, capsys):
         first_exchange = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln)
         assert any("HashAggregate" in ln and ("partial_" in ln or "functions=[]" in ln)
                    for ln in lines[first_exchange + 1:]), plan
+
+
+def test_csv_doubled_quotes_default_and_escape_option(spark):
+    from fundscope.session import scratch_path as sp
+    path = sp(spark, "quoted_csv")
+    lines = spark.createDataFrame([("id,name",), ('1,"Bad ""quote"" row"',)], "value string")
+    lines.coalesce(1).write.text(path)
+    kept = readers.read_csv(spark, path, infer_schema=False).first()["name"]
+    unescaped = readers.read_csv(spark, path, infer_schema=False, escape='"').first()["name"]
+    # default escape is a backslash: the field is not unquoted, it is read with all its quotes
+    assert kept == '"Bad ""quote"" row"'
+    assert unescaped == 'Bad "quote" row'
