@@ -1,30 +1,33 @@
 """The English stop-word list that Spark's ``StopWordsRemover`` uses.
 
-Read from the Spark ML jar shipped with PySpark (the same resource the JVM
-stage loads), so the list is Spark's own and no JVM is needed to get it.
+Written out so that neither a JVM nor Spark's jars are needed to build a
+query; ``tests/test_functions.py`` compares it with the JVM stage's own list.
 """
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
+# Spark's English stop words, in Spark's order.
+ENGLISH: tuple[str, ...] = (
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours",
+    "yourself", "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself",
+    "it", "its", "itself", "they", "them", "their", "theirs", "themselves", "what", "which",
+    "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was", "were", "be",
+    "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an",
+    "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by",
+    "for", "with", "about", "against", "between", "into", "through", "during", "before",
+    "after", "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over",
+    "under", "again", "further", "then", "once", "here", "there", "when", "where", "why",
+    "how", "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "no",
+    "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will",
+    "just", "don", "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll",
+    "i'd", "you'd", "he'd", "she'd", "we'd", "they'd", "i'm", "you're", "he's", "she's",
+    "it's", "we're", "they're", "i've", "we've", "you've", "they've", "isn't", "aren't",
+    "wasn't", "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't", "won't",
+    "wouldn't", "shan't", "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could",
+    "here's", "how's", "let's", "ought", "that's", "there's", "what's", "when's", "where's",
+    "who's", "why's", "would",
+)
 
-_RESOURCE = "org/apache/spark/ml/feature/stopwords/{lang}.txt"
 
-
-@functools.lru_cache(maxsize=None)
-def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = _RESOURCE.format(lang=language)
-            if name in z.namelist():
-                words = z.read(name).decode("utf-8").split("\n")
-                return tuple(w for w in (x.strip() for x in words) if w)
-    # Fallback: ask the JVM (needs an active SparkContext).
-    from pyspark.ml.feature import StopWordsRemover
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
+def default_stop_words() -> tuple[str, ...]:
+    return ENGLISH

@@ -428,11 +428,9 @@ def _grid_sql(reg_params, min_dfs) -> str:
       from grid"""
 
 
-def _grids():
-    from fundscope.operators import model as md
-    return {"param_grid": _grid_sql(md.REG_PARAMS, md.MIN_DFS),
-            "param_grid_large": _grid_sql(md.LARGE_GRID_REG, md.LARGE_GRID_MIN_DF)}
-
-
-SQL.update(_grids())
+# The grids of the two searches, spelled out on this side too.
+SQL["param_grid"] = _grid_sql((1e-8, 1e-6, 1e-4, 1e-2), (55.0, 75.0, 95.0))
+SQL["param_grid_large"] = _grid_sql(
+    (1e-8, 1e-7, 1e-6, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0),
+    (5.0, 10.0, 20.0, 30.0, 50.0, 75.0, 100.0, 125.0))
 SQL["word_count_incremental"] = with_(LINES, WORDS) + "select word, count(*) as count from words group by word"

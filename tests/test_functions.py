@@ -109,3 +109,10 @@ def test_describe_number_prefilter_equals_try_cast(spark):
     for v, r in zip(vals, rows):
         same = (r.a == r.b) or (r.a is None and r.b is None) or (r.a != r.a and r.b != r.b)
         assert same, (v, r.a, r.b)
+
+
+def test_stop_words_are_sparks_own(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    from fundscope.functions.stopwords import default_stop_words
+    assert list(default_stop_words()) == list(StopWordsRemover.loadDefaultStopWords("english"))
