@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontaminate, quality, simhash, toxicity
+from fundscope.llm import decontaminate, mixing, quality, simhash, token_files, toxicity, url_filter
+
+VOCABULARY = "word_bpe_49k.json"
+
+# The rules of the URL query.
+URL_RULES = (url_filter.Rule("net/", block=True), url_filter.Rule("example.net/en/", block=False),
+             url_filter.Rule("example.com/de/", block=True), url_filter.Rule("org/fr/", block=False))
+
+# The tree and target weights of the mixing query.
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_DOMAINS = 4
+MIX_WEIGHTS = {
+    ("domain0",): 4, ("domain1",): 3, ("domain2",): 2, ("domain3",): 1,
+    **{(f"domain{d}", lang): w for d in range(MIX_DOMAINS) for lang, w in (("en", 5), ("de", 2), ("fr", 2), ("es", 1))},
+}
+MIX_SHARE = 0.6            # of the corpus' tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +43,17 @@ def toxic_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     return toxicity.fit(_table(spark, sf_dir, "documents"), labels)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on the URLs that a rule decides."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    _, block = url_filter.longest_rule(url_filter.host(F.col("url")), url_filter.path(F.col("url")), URL_RULES)
+    labelled = pages.select("url", block.cast("int").alias("label"))
+    found = url_filter.judge(pages, URL_RULES, url_filter.fit(labelled))
+    return found.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"),
+                        F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"),
+                        F.col("url_score").alias("score"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(_table(spark, sf_dir, "documents"), toxic_model(spark, sf_dir))
     return scored.select("doc_id", _held_out(5, 0).alias("held_out"), "score",
@@ -53,11 +79,85 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def with_domain(docs: DataFrame) -> DataFrame:
+    """A domain for each document: its source's number modulo four; null where the source has no number."""
+    number = F.substring("source", 4, 9).try_cast("int")
+    return docs.withColumn("domain", F.concat(F.lit("domain"), (number % MIX_DOMAINS).cast("string")))
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    return mixing.mix(with_domain(docs), MIX_LEVELS, F.col("all_tokens") * MIX_SHARE, weights=MIX_WEIGHTS)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixed_documents(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "domain", "lang", "source", F.col("mix_epoch").alias("epoch"),
+                        F.col("mix_tokens").alias("n_tokens"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(VOCABULARY)
+
+
+def encoded_documents(docs: DataFrame) -> DataFrame:
+    manifest = token_files.write_sequences(docs, tokenizer_path())
+    return token_files.read_sequences(manifest, docs.schema["doc_id"].dataType)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
+    "op9_mixing": op9_mixing,
+    "op10_token_files": op10_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _mixing_sql() -> str:
+    """The same budgets and cuts, level by level, without slices."""
+    levels = ["domain", "lang", "source"]
+    weight = {1: "case domain when 'domain0' then 4 when 'domain1' then 3 when 'domain2' then 2 else 1 end",
+              2: "case when domain is null then 1 when lang = 'en' then 5 when lang in ('de', 'fr') then 2 else 1 end",
+              3: "1"}
+    parts = [r"""docs as (
+        select doc_id, 'domain' || (try_cast(substr(source, 4, 9) as integer) % 4) as domain, lang, source,
+               coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as n from documents)""",
+             "leaves as (select domain, lang, source, sum(n) as tokens from docs group by all having sum(n) > 0)"]
+    for d in (1, 2, 3):
+        cols = ", ".join(levels[:d])
+        up = ("(select floor(sum(tokens) * 0.6)::bigint as share from leaves) u on true" if d == 1 else
+              f"s{d - 1} u on " + " and ".join(f"u.{c} is not distinct from k.{c}" for c in levels[:d - 1]))
+        by = "partition by " + ", ".join(levels[:d - 1]) if d > 1 else ""
+        order = f"{by} order by capacity::double / w::double, {levels[d - 1]} nulls first rows unbounded preceding"
+        parts += [
+            f"k{d} as (select {cols}, sum(tokens) * 3 as capacity, {weight[d]} as w from leaves group by {cols})",
+            f"b{d} as (select k.*, u.share as budget from k{d} k join {up})",
+            f"c{d} as (select *, sum(capacity) over ({order}) as cu, sum(w) over ({order}) as wu, sum(w) over ({by}) as aw from b{d})",
+            f"f{d} as (select *, capacity * (aw - wu) <= (budget - cu) * w as is_full from c{d})",
+            f"""g{d} as (select *, budget - coalesce(sum(case when is_full then capacity end) over ({by}), 0) as rest,
+                sum(case when not is_full then w end) over ({by}) as ow from f{d})""",
+            f"s{d} as (select {cols}, (case when is_full then capacity else rest * w // ow end)::bigint as share from g{d})",
+        ]
+    same = " and ".join(f"x.{c} is not distinct from y.{c}" for c in levels)
+    parts += [
+        f"""plan as (select x.*, (y.share // x.tokens)::bigint as whole, (y.share % x.tokens)::bigint as rest
+             from leaves x join s3 y on {same})""",
+        f"""rows as (select x.doc_id, x.domain, x.lang, x.source, x.n, y.whole, y.rest,
+             md5('20:' || y.whole || ':' || x.doc_id) as mix_key from docs x join plan y on {same} where x.n > 0)""",
+        """placed as (select *, sum(n) over (partition by domain, lang, source order by mix_key, doc_id::varchar
+             rows unbounded preceding) - n as before from rows)""",
+    ]
+    return "with " + ",\n".join(parts) + """
+        select doc_id, domain, lang, source, e::integer as epoch, n::bigint as n_tokens
+        from (select *, unnest(range(0, whole)) as e from rows)
+        union all
+        select doc_id, domain, lang, source, whole::integer, least(n, rest - before)::bigint from placed where before < rest"""
+
+
+ORACLE_SQL: dict[str, str] = {"op9_mixing": _mixing_sql()}

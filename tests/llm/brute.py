@@ -78,3 +78,30 @@ def components(fps, max_bits=3):
                 ra, rb = root(a), root(b)
                 parent[max(ra, rb)] = min(ra, rb)
     return {d: root(d) for d in ids}
+
+
+def token_files(docs, path, end_id=1):
+    """{doc_id: (start, n_tokens, ids_crc32)}; ids must be distinct"""
+    import struct
+    import zlib
+
+    from tokenizers import Tokenizer
+    tokenizer, start, out = Tokenizer.from_file(path), 0, {}
+    for d, text in sorted(docs, key=lambda r: r[0]):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [end_id]
+        out[d] = (start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        start += len(ids)
+    return out
+
+
+def url_rule(url, rules):
+    """(host, path, longest rule or None); rules are texts like example.net/en/"""
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+        host = host.translate(UPPER)
+    fits = [r for r in rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0]))
+            and path.startswith(r[r.index("/"):])]
+    return host, path, max(fits, key=len, default=None)
