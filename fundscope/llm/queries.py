@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontaminate, mixing, quality, simhash, token_files, toxicity, url_filter
+from fundscope.llm import decontaminate, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -43,6 +43,11 @@ def toxic_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     return toxicity.fit(_table(spark, sf_dir, "documents"), labels)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on the URLs that a rule decides."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -110,6 +115,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
