@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontaminate, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
+from fundscope.llm import decontaminate, line_dedup, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -84,6 +84,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "shared_depth")
+
+
 def with_domain(docs: DataFrame) -> DataFrame:
     """A domain for each document: its source's number modulo four; null where the source has no number."""
     number = F.substring("source", 4, 9).try_cast("int")
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
+    "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
 }
@@ -166,4 +172,30 @@ def _mixing_sql() -> str:
         select doc_id, domain, lang, source, whole::integer, least(n, rest - before)::bigint from placed where before < rest"""
 
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": _mixing_sql()}
+def _line_dedup_sql(min_lines: int = 3, doublings: int = 20) -> str:
+    """Line windows by concatenation: repeated ones beyond the first, and the largest power of two shared."""
+    parts = ["""docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents)""",
+             "c0 as (select doc_id, unnest(range(0, len(lines))) as pos, md5(unnest(lines)) as c from docs)"]
+    for k in range(doublings):
+        parts.append(f"""c{k + 1} as (select doc_id, pos, md5(c || f) as c from (
+            select doc_id, pos, c, lead(c, {2 ** k}) over (partition by doc_id order by pos) as f from c{k}) where f is not null)""")
+    shared = " union all ".join(f"select doc_id, {2 ** k} as depth from (select doc_id, count(*) over (partition by c) as n from c{k}) where n > 1"
+                                for k in range(doublings + 1))
+    tail = " || ".join(f"lead(c, {k}) over w" for k in range(1, min_lines))
+    parts += [
+        f"depths as (select doc_id, max(depth) as depth from ({shared}) group by doc_id)",
+        f"windows as (select doc_id, pos, md5(c || {tail}) as c from c0 window w as (partition by doc_id order by pos))",
+        "later as (select doc_id, pos from (select doc_id, pos, row_number() over (partition by c order by doc_id, pos) as k from windows where c is not null) where k > 1)",
+        f"gone as (select distinct doc_id, pos + unnest(range(0, {min_lines})) as pos from later)",
+        """flat as (select c0.doc_id, c0.pos, gone.pos is not null as removed, unnest_line.line from c0
+             join (select doc_id, unnest(range(0, len(lines))) as pos, unnest(lines) as line from docs) unnest_line using (doc_id, pos)
+             left join gone using (doc_id, pos))""",
+    ]
+    return "with " + ",\n".join(parts) + """
+        select doc_id, count(*) as n_lines, count(*) filter (removed) as n_removed,
+               sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not removed), '')) as kept_sha256,
+               coalesce(any_value(depth), 0)::bigint as shared_depth
+        from flat left join depths using (doc_id) group by doc_id"""
+
+
+ORACLE_SQL: dict[str, str] = {"op8_line_dedup": _line_dedup_sql(), "op9_mixing": _mixing_sql()}
