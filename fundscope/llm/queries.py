@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontaminate, line_dedup, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
+from fundscope.llm import ann, decontaminate, line_dedup, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -84,6 +84,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), 20, F.col("id") % 20 == 0)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "shared_depth")
@@ -126,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
