@@ -150,14 +150,14 @@ def mix(docs: DataFrame, levels: Sequence[str], total: Column | int, *, weights:
            .where("before < rest and before + mix_n >= rest")
            .groupBy(*node).agg(F.min(F.struct("mix_key", "mix_id", (F.col("rest") - F.col("before")).alias("take"))).alias("cut")))
     full = (plan.alias("p").join(cut.alias("c"), _same("p", "c", levels, node), "left")
-            .select(*[F.col(f"p.{c}").alias(c) for c in levels], "whole", "cut").checkpoint())
+            .select(*[F.col(f"p.{c}").alias(c) for c in levels], F.col("whole").alias("mix_whole"), F.col("cut").alias("mix_cut")).checkpoint())
     # one pass over the documents
     row = docs.withColumn("mix_id", F.col(id_col).cast("string")).withColumn("mix_n", n_tokens(F.col(text_col))).where("mix_n > 0")
-    chosen = _joined(row, full, levels).withColumn("mix_key", key(F.col("whole")))
-    last = F.when(F.col("mix_key") < F.col("cut.mix_key"), F.col("mix_n")).when(
-        F.col("mix_key") == F.col("cut.mix_key"), F.least("mix_n", "cut.take"))
-    taken = F.concat(F.transform(F.sequence(F.lit(0).cast("long"), F.col("whole")),
-                                 lambda e: F.struct(e.cast("int").alias("epoch"), F.when(e < F.col("whole"), F.col("mix_n")).otherwise(last).alias("n"))))
+    chosen = _joined(row, full, levels).withColumn("mix_key", key(F.col("mix_whole")))
+    last = F.when(F.col("mix_key") < F.col("mix_cut.mix_key"), F.col("mix_n")).when(
+        F.col("mix_key") == F.col("mix_cut.mix_key"), F.least("mix_n", "mix_cut.take"))
+    taken = F.transform(F.sequence(F.lit(0).cast("long"), F.col("mix_whole")), lambda e: F.struct(
+        e.cast("int").alias("epoch"), F.when(e < F.col("mix_whole"), F.col("mix_n")).otherwise(last).alias("n")))
     return (chosen.withColumn("mix_taken", F.explode(F.filter(taken, lambda x: x["n"] > 0)))
             .select(*docs.columns, F.col("mix_taken.epoch").alias("mix_epoch"), F.col("mix_taken.n").alias("mix_tokens")))
 
@@ -171,7 +171,7 @@ def _same(a: str, b: str, left: Sequence[str], right: Sequence[str] | None = Non
 
 def _joined(rows: DataFrame, leaves: DataFrame, levels: Sequence[str]) -> DataFrame:
     """Rows with the columns of their leaf; a large leaf is split by adaptive execution's skew join."""
-    names = [f"leaf_{k}" for k in range(len(levels))]
+    names = [f"mix_leaf_{k}" for k in range(len(levels))]
     other = leaves.select(*[F.col(c).alias(k) for c, k in zip(levels, names)], *[c for c in leaves.columns if c not in levels])
     on = F.lit(True)
     for c, k in zip(levels, names):

@@ -16,7 +16,7 @@ URL_RULES = (url_filter.Rule("net/", block=True), url_filter.Rule("example.net/e
              url_filter.Rule("example.com/de/", block=True), url_filter.Rule("org/fr/", block=False))
 
 # The tree and target weights of the mixing query.
-MIX_LEVELS = ("domain", "lang", "source")
+MIX_LEVELS = ("mix_domain", "lang", "source")
 MIX_DOMAINS = 4
 MIX_WEIGHTS = {
     ("domain0",): 4, ("domain1",): 3, ("domain2",): 2, ("domain3",): 1,
@@ -96,7 +96,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_domain(docs: DataFrame) -> DataFrame:
     """A domain for each document: its source's number modulo four; null where the source has no number."""
     number = F.substring("source", 4, 9).try_cast("int")
-    return docs.withColumn("domain", F.concat(F.lit("domain"), (number % MIX_DOMAINS).cast("string")))
+    return docs.withColumn("mix_domain", F.concat(F.lit("domain"), (number % MIX_DOMAINS).cast("string")))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixed_documents(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "domain", "lang", "source", F.col("mix_epoch").alias("epoch"),
+    return mixed.select("doc_id", F.col("mix_domain").alias("domain"), "lang", "source", F.col("mix_epoch").alias("epoch"),
                         F.col("mix_tokens").alias("n_tokens"))
 
 

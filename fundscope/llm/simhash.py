@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundscope.llm.graph import components
@@ -251,9 +251,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without the later members of each component; columns unchanged.
 
-    The member with the smallest id stays.  A row that repeats both id and
-    text of another goes too.  Rows without id stay: no component can name them.
+    Rows are told apart by id and text.  The member with the smallest id stays
+    (of one id, the text with the smallest hash; a row without id comes before
+    all ids); of rows that repeat both, one stays.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    later = found.where(F.col(id_col) > F.col("component_id")).select(id_col).distinct()
-    return docs.join(later, id_col, "left_anti").select(docs.columns).dropDuplicates([id_col, text_col])
+    rows = docs.withColumn("_row", F.struct(F.col(id_col), F.xxhash64(text_col)))
+    found = near_duplicates(rows.select("_row", F.col(text_col).alias("_text")), id_col="_row", text_col="_text", **options)
+    later = found.where(F.col("_row") != F.col("component_id")).select("_row").distinct()
+    one = Window.partitionBy("_row").orderBy(F.lit(0))
+    return (rows.join(later, "_row", "left_anti").withColumn("_copy", F.row_number().over(one))
+            .where("_copy = 1").select(docs.columns))

@@ -179,3 +179,9 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
     found = docs.select(*rest, text_col).mapInArrow(scored, schema)
     return found.select(*keep, score_col)
+
+
+def drop_toxic(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The documents whose score is below the threshold, columns unchanged."""
+    scored = score(docs, model, id_col=id_col, text_col=text_col, keep=docs.columns, score_col="_toxic_score")
+    return scored.where(F.col("_toxic_score") < threshold).select(docs.columns)
