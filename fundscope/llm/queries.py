@@ -37,30 +37,14 @@ def _digest(items: str):
     return F.sha2(F.concat_ws(",", items), 256)
 
 
-def toxic_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+def toxic_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Learns from the labelled rows outside the held-out fold only."""
-    labels = _table(spark, sf_dir, "labels").where(~_held_out(5, 0)).select("doc_id", F.col("toxic").alias("label"))
-    return toxicity.fit(_table(spark, sf_dir, "documents"), labels)
-
-
-def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring_dedup.dedup(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
-
-
-def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trained on the URLs that a rule decides."""
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
-    _, block = url_filter.longest_rule(url_filter.host(F.col("url")), url_filter.path(F.col("url")), URL_RULES)
-    labelled = pages.select("url", block.cast("int").alias("label"))
-    found = url_filter.judge(pages, URL_RULES, url_filter.fit(labelled))
-    return found.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"),
-                        F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"),
-                        F.col("url_score").alias("score"))
+    return toxicity.fit(docs, labels.where(~_held_out(5, 0)).select("doc_id", F.col("toxic").alias("label")))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = toxicity.score(_table(spark, sf_dir, "documents"), toxic_model(spark, sf_dir))
+    documents = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(documents, toxic_model(documents, _table(spark, sf_dir, "labels")))
     return scored.select("doc_id", _held_out(5, 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
