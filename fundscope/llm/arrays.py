@@ -82,11 +82,18 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 class Words:
     """Maximal runs of word bytes; a run never crosses from one document to the next."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, part: np.ndarray | None = None):
+        """``kind``: which bytes are word bytes.  ``part``: classes of bytes; a run also ends where class 1 meets class 2."""
         inside = kind[data]
         first, last = inside.copy(), inside.copy()
-        first[1:] &= ~inside[:-1]
-        last[:-1] &= ~inside[1:]
+        if part is None:
+            first[1:] &= ~inside[:-1]
+            last[:-1] &= ~inside[1:]
+        else:
+            classes = part[data]
+            meet = classes[1:] + classes[:-1] == 3
+            first[1:] &= ~inside[:-1] | meet
+            last[:-1] &= ~inside[1:] | meet
         full = offsets[1:] > offsets[:-1]
         first[offsets[:-1][full]] = inside[offsets[:-1][full]]
         last[offsets[1:][full] - 1] = inside[offsets[1:][full] - 1]
@@ -142,6 +149,17 @@ def sums_by(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def heads(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value starts in a sorted array."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted.  (Sorting integers is many times faster than numpy's hashing unique.)"""
+    ordered = np.sort(values)
+    return ordered[heads(ordered)]
+
+
 def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... (count[0] of them), start[1], ..."""
     total = int(count.sum())

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundscope.llm.arrays import ALNUM, LOWER, Words, chunks, ranges, sums_by
+from fundscope.llm.arrays import ALNUM, LOWER, Words, chunks, heads, ranges, sums_by
 from fundscope.llm.storage import stored
 
 WINDOW = 13
@@ -64,7 +64,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 words = _words(data, offsets)
                 h = words.hashes()
                 order = np.argsort(h, kind="stable")
-                terms, first = np.unique(h[order], return_index=True)
+                first = heads(h[order])
+                terms = h[order[first]]
                 ids = batch.column(0).slice(row, end - row)
                 yield pa.record_batch([
                     pa.ListArray.from_arrays(pa.array([0, end - row], pa.int32()), ids),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscope.llm.arrays import NON_SPACE, Words, characters, chunks, ranges
+from fundscope.llm.arrays import NON_SPACE, Words, characters, chunks, heads, ranges
 
 SIZES = (3, 4)
 BITS = 18
@@ -86,7 +86,9 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
         for batch in batches:
             for row, end, data, offsets in chunks(batch.column(2)):
                 doc, bucket = subwords(data, offsets)
-                key, many = np.unique((doc.astype(np.int64) << BITS) | bucket, return_counts=True)
+                key = np.sort((doc.astype(np.int64) << BITS) | bucket)
+                head = heads(key)
+                key, many = key[head], np.diff(np.append(head, len(key)))
                 at = np.searchsorted(key >> BITS, np.arange(end - row + 1))
                 ids = (key & ((1 << BITS) - 1)).astype(np.int32)
                 many = many.astype(np.float32)
