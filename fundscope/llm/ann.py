@@ -152,19 +152,19 @@ def nearest(df: DataFrame, k: int, queries: Column, *, id_col: str = "vec_id", v
     placed = _placed(points, curves, block)
     if reach is None:
         reach = calibrate(points, placed, k, recall)
-    looks = (placed.where("asked").withColumn("block", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)))
-             .select("curve", "block", "point", "vec", F.lit(True).alias("query")))
-    both = placed.select("curve", "block", "point", "vec", F.lit(False).alias("query")).unionByName(looks)
-
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        q, p = group[group["query"]], group[~group["query"]]
-        if not len(q) or not len(p):
-            return pd.DataFrame({"asker": np.zeros(0, np.int64), "point": np.zeros(0, np.int64), "score": np.zeros(0)})
-        found = _nearest(_vectors(q["vec"]), q["point"].to_numpy(), _vectors(p["vec"]), p["point"].to_numpy(), k + 1)
-        return pd.DataFrame(dict(zip(("asker", "point", "score"), found)))
-
-    found = (both.groupBy("curve", "block").applyInPandas(search, "asker long, point long, score double")
-             .groupBy("asker", "point").agg(F.max("score").alias("score")))
+    rows = placed.select("curve", "block", "point", "vec", F.lit(None).cast("double").alias("floor"), F.lit(False).alias("query"))
+    own = placed.where("asked")
+    found = _searched(rows, own.withColumn("floor", F.lit(float("-inf"))), k)
+    if reach:
+        # what the own blocks found sets a floor: other blocks return only what is at least as near
+        found = stored(found, "own_blocks")
+        kth = Window.partitionBy("asker").orderBy(F.desc("score"), "point")
+        floors = (found.withColumn("k", F.row_number().over(kth)).where(F.col("k") == k + 1)
+                  .select(F.col("asker").alias("point"), F.col("score").alias("floor")))
+        away = F.filter(F.sequence(F.lit(-reach), F.lit(reach)), lambda d: d != 0)
+        looks = (own.join(floors, "point", "left").fillna({"floor": float("-inf")})
+                 .withColumn("step", F.explode(away)).withColumn("block", F.col("block") + F.col("step")))
+        found = found.unionByName(_searched(rows, looks, k)).groupBy("asker", "point").agg(F.max("score").alias("score"))
     best = Window.partitionBy("asker").orderBy(F.desc("score"), "point")
     found = found.withColumn("k", F.row_number().over(best)).where(F.col("k") <= k + 1).drop("k")
     members = found.join(points.select("point", "ids"), "point").select("asker", "score", F.explode("ids").alias("vec_id"))
@@ -174,6 +174,24 @@ def nearest(df: DataFrame, k: int, queries: Column, *, id_col: str = "vec_id", v
             .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
 
+def _searched(rows: DataFrame, looks: DataFrame, k: int) -> DataFrame:
+    """asker, point, score: the k + 1 nearest rows of each block that a query looks at, from its floor up."""
+
+    def search(group: pd.DataFrame) -> pd.DataFrame:
+        q, p = group[group["query"]], group[~group["query"]]
+        if not len(q) or not len(p):
+            return pd.DataFrame({"asker": np.zeros(0, np.int64), "point": np.zeros(0, np.int64), "score": np.zeros(0)})
+        ids = q["point"].to_numpy()
+        asker, point, score = _nearest(_vectors(q["vec"]), ids, _vectors(p["vec"]), p["point"].to_numpy(), k + 1)
+        order = np.argsort(ids)
+        keep = score >= q["floor"].to_numpy()[order[np.searchsorted(ids[order], asker)]]
+        return pd.DataFrame({"asker": asker[keep], "point": point[keep], "score": score[keep]})
+
+    both = rows.unionByName(looks.select("curve", "block", "point", "vec", "floor", F.lit(True).alias("query")))
+    return (both.groupBy("curve", "block").applyInPandas(search, "asker long, point long, score double")
+            .groupBy("asker", "point").agg(F.max("score").alias("score")))
+
+
 def _placed(points: DataFrame, curves: int, block: int) -> DataFrame:
     """Every point once per curve, with its block: curve, block, point, vec, asked."""
 
