@@ -73,7 +73,7 @@ def q_text_scan(spark, sf):
 
 @query("parquet_scan")
 def q_parquet_scan(spark, sf):
-    return readers.read_table(spark, sf, "lineitem", spread=False)
+    return readers.read_table(spark, sf, "lineitem")
 
 
 # ---------------------------------------------------------------- sinks
@@ -109,23 +109,25 @@ def q_csv_sink_delimited(spark, sf):
 
 @query("row_count")
 def q_row_count(spark, sf):
-    return pr.row_count(readers.read_table(spark, sf, "lineitem", spread=False))
+    return pr.row_count(readers.read_table(spark, sf, "lineitem"))
 
 
 @query("schema_profile")
 def q_schema_profile(spark, sf):
-    return pr.schema_profile(readers.read_table(spark, sf, "lineitem", spread=False))
+    return pr.schema_profile(readers.read_table(spark, sf, "lineitem"))
 
 
 @query("head_n")
 def q_head_n(spark, sf):
-    return pr.head_n(readers.read_table(spark, sf, "orders", spread=False), 20,
+    return pr.head_n(readers.read_table(spark, sf, "orders"), 20,
                      order_by="o_orderkey")
 
 
 @query("describe_numeric")
 def q_describe_numeric(spark, sf):
-    return pr.describe(_casted(spark, sf), ["goal", "backers_count", "final_status"])
+    cols = ["goal", "backers_count", "final_status"]
+    stats = pr.describe(_casted(spark, sf), cols)
+    return stats.select("summary", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in cols])
 
 
 @query("describe_mixed")
@@ -426,26 +428,27 @@ def q_string_index_keep(spark, sf):
 def q_one_hot(spark, sf):
     docs = readers.read_table(spark, sf, "documents").select("doc_id", "source")
     indexed = en.index_strings(docs, "source", "source_index", "error")
-    hot = en.one_hot_stage("source_index", "source_vec").fit(indexed).transform(indexed)
-    return hot.select("doc_id", "source", en.vector_size("source_vec").alias("n_slots"),
-                      en.one_hot_slot("source_vec").alias("slot"))
+    encoder = en.one_hot_stage("source_index", "source_vec").fit(indexed)
+    n_slots = encoder.categorySizes[0] - 1
+    return encoder.transform(indexed).select("doc_id", "source", F.lit(n_slots).alias("n_slots"),
+                                             en.one_hot_slot("source_index", n_slots).alias("slot"))
 
 
 @query("assemble_features")
 def q_assemble_features(spark, sf):
     from pyspark.ml import Pipeline
+    from pyspark.ml.feature import CountVectorizerModel, VectorSlicer
     from pyspark.ml.functions import vector_to_array
     docs = fx.labelled_docs(spark, sf)
     stages, _ = md.feature_stages(min_df=TEXT_MIN_DF)
-    feats = Pipeline(stages=stages).fit(docs).transform(docs)
-    arr = vector_to_array(F.col("features"))
-    n = F.size(arr)
+    fitted = Pipeline(stages=stages).fit(docs)
+    terms = next(len(s.vocabulary) for s in fitted.stages if isinstance(s, CountVectorizerModel))
+    names = ["days_campaign", "hours_prepa", "goal", "country_indexed", "currency_indexed"]
+    last = VectorSlicer(inputCol="features", outputCol="last", indices=list(range(terms, terms + len(names))))
+    feats = last.transform(fitted.transform(docs)).withColumn("last", vector_to_array("last"))
     return feats.select(
-        "doc_id", n.alias("n_features"),
-        F.round(F.aggregate(F.slice(arr, 1, n - 5), F.lit(0.0), lambda a, x: a + x), 6)
-        .alias("tfidf_sum"),
-        *[F.round(F.element_at(arr, -5 + i), 6).alias(c) for i, c in enumerate(
-            ["days_campaign", "hours_prepa", "goal", "country_indexed", "currency_indexed"])])
+        "doc_id", F.lit(terms + len(names)).alias("n_features"), F.round(en.vector_sum("tfidf"), 6).alias("tfidf_sum"),
+        *[F.round(F.col("last")[i], 6).alias(c) for i, c in enumerate(names)])
 
 
 # ---------------------------------------------------------------- decisions and metrics
@@ -495,6 +498,14 @@ def q_split_seeded(spark, sf):
             .unionByName(test.select("doc_id", F.lit(1).alias("part"))))
 
 
+@query("pipeline_predict_tf_onehot")
+def q_pipeline_predict_tf_onehot(spark, sf):
+    """Term counts without IDF, both indices one-hot, ``days_campaign`` first."""
+    train, test = md.split(fx.labelled_docs(spark, sf))
+    model = tr.fit_pipeline(train, TEXT_MIN_DF, FIT_REG_PARAM, use_idf=False, one_hot=True, text_first=False)
+    return _scores(model.transform(test))
+
+
 @query("pipeline_predict")
 def q_pipeline_predict(spark, sf):
     train, test = md.split(fx.labelled_docs(spark, sf))
@@ -514,6 +525,12 @@ def q_param_grid(spark, sf):
     return _grid_vocabulary(spark, sf, md.REG_PARAMS, md.MIN_DFS)
 
 
+@query("param_grid_alt")
+def q_param_grid_alt(spark, sf):
+    """The ladder of the other trainers."""
+    return _grid_vocabulary(spark, sf, md.REG_PARAMS_ALT, md.MIN_DFS)
+
+
 @query("param_grid_large")
 def q_param_grid_large(spark, sf):
     return _grid_vocabulary(spark, sf, md.LARGE_GRID_REG, md.LARGE_GRID_MIN_DF)
@@ -581,4 +598,4 @@ def q_word_count_incremental(spark, sf):
     sinks.write_text(readers.read_table(spark, sf, "documents"), txt, "text")
     out = scratch_path(spark, "word_counts_stream")
     inc.start_word_count_stream(spark, txt, out).awaitTermination()
-    return readers.read_parquet(spark, out)
+    return inc.read_word_counts(spark, out)

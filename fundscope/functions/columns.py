@@ -118,13 +118,8 @@ def elapsed_whole_hours(end_epoch, start_epoch, missing: float = -1.0) -> Column
 
 
 def truncated_div(col, divisor: int) -> Column:
-    """Integer division truncating toward zero (the JVM rule), exact.
-
-    ``%`` keeps the sign of the dividend, so ``x - x % d`` is an exact
-    multiple of ``d`` and the quotient needs no rounding.
-    """
-    c = _c(col).cast("bigint")
-    return ((c - c % F.lit(divisor)) / F.lit(divisor)).cast("bigint")
+    """Integer division truncating toward zero (the JVM rule), exact over the whole bigint range."""
+    return F.call_function("div", _c(col).cast("bigint"), F.lit(divisor).cast("bigint"))
 
 
 # ---------------------------------------------------------------- text

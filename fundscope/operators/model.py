@@ -12,6 +12,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fundscope.operators import encode as en
 from fundscope.operators import evaluate as ev
@@ -81,9 +82,28 @@ def pretokenize(df: DataFrame) -> DataFrame:
     return tx.stop_words_stage().transform(tx.tokenizer_stage().transform(df))
 
 
-def split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED):
-    """Seeded random split; parts are disjoint and together complete."""
-    return df.randomSplit(list(weights), seed=seed)
+def split_key(seed: int | str, id_col: str) -> F.Column:
+    """First 8 hex digits of md5(seed:id): even over 0 ... 2**32 - 1, and the
+    same for any layout of the rows, cluster or engine."""
+    return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 8)
+
+
+def split_part(weights, seed: int | str, id_col: str) -> F.Column:
+    """Number of the part (from 0) that a row's id falls into."""
+    total, upto, part = float(sum(weights)), 0.0, F.lit(len(weights) - 1)
+    cuts = []
+    for w in list(weights)[:-1]:
+        upto += w / total
+        cuts.append(f"{min(int(upto * (1 << 32)), (1 << 32) - 1):08x}")
+    for k, cut in reversed(list(enumerate(cuts))):
+        part = F.when(split_key(seed, id_col) < cut, F.lit(k)).otherwise(part)
+    return part
+
+
+def split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int | str = SPLIT_SEED, id_col: str = "doc_id"):
+    """Seeded split by id; parts are disjoint, together complete and repeatable."""
+    part = split_part(weights, seed, id_col)
+    return [df.filter(part == k) for k in range(len(weights))]
 
 
 def param_grid(lr, cv, reg_params=REG_PARAMS, min_dfs=MIN_DFS):
@@ -136,7 +156,6 @@ def grid_vocabulary(spark, grid, lr, cv, tf: DataFrame, docs: DataFrame | None =
     ``minDF``), so the sizes come from one aggregation and an equi-join with
     the (tiny) candidate table.
     """
-    from pyspark.sql import functions as F
     table = grid_table(spark, grid, lr, cv)
     mins = sorted({float(m[cv.minDF]) for m in grid})
     n_docs = None

@@ -27,10 +27,6 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def column_count(df: DataFrame) -> int:
-    return len(df.columns)
-
-
 def schema_profile(df: DataFrame) -> DataFrame:
     """One row per column: ordinal, name, Spark type and non-null count.
 
@@ -55,36 +51,33 @@ def head_n(df: DataFrame, n: int = 20, order_by=None) -> DataFrame:
     return df.limit(n)
 
 
-def describe(df: DataFrame, cols=None, digits: int | None = 4) -> DataFrame:
+def describe(df: DataFrame, cols=None, digits: int | None = None) -> DataFrame:
     """``describe`` in one pass: count, mean, sample stddev, min, max.
 
-    Numeric columns give double statistics (rounded to ``digits``); if any
-    column is not numeric, every statistic is text as in ``DataFrame.describe``:
-    mean and stddev are null for text that is not a number and min / max follow
-    text order.  The result has a ``summary`` column and one column per input.
+    Every statistic is text, as in ``DataFrame.describe``, so min and max of
+    wide integers and decimals keep all their digits.  Mean and stddev are
+    doubles (rounded to ``digits`` if given), null for text that is not a
+    number; min / max of text follow text order.  The result has a ``summary``
+    column and one column per input.
     """
     cols = list(cols or df.columns)
-    numeric_types = ("tinyint", "smallint", "int", "bigint", "float", "double")
-    types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-    all_numeric = all(types[c].startswith("decimal") or types[c] in numeric_types for c in cols)
-
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+    kinds = {f.name: f.dataType.simpleString().split("(")[0] for f in df.schema.fields}
     aggs = []
     for i, c in enumerate(cols):
         col = F.col(f"`{c}`")
-        as_num = col.cast("double") if all_numeric else _text_as_double(col)
+        as_num = col.cast("double") if kinds[c] in numeric else _text_as_double(col)
         mean, std = F.avg(as_num), F.stddev_samp(as_num)
-        if all_numeric and digits is not None:
+        if digits is not None:
             mean, std = F.round(mean, digits), F.round(std, digits)
-        lo, hi = (F.min(as_num), F.max(as_num)) if all_numeric else (F.min(col), F.max(col))
-        aggs += [F.count(col).alias(f"count{i}"), mean.alias(f"mean{i}"),
-                 std.alias(f"stddev{i}"), lo.alias(f"min{i}"), hi.alias(f"max{i}")]
+        aggs += [F.count(col).alias(f"count{i}"), mean.alias(f"mean{i}"), std.alias(f"stddev{i}"),
+                 F.min(col).alias(f"min{i}"), F.max(col).alias(f"max{i}")]
     wide = df.agg(*aggs)
 
-    out_type = "double" if all_numeric else "string"
     parts = []
     for stat in DESCRIBE_STATS:
         parts.append(F.lit(stat))
-        parts += [F.col(f"{stat}{i}").cast(out_type) for i in range(len(cols))]
+        parts += [F.col(f"{stat}{i}").cast("string") for i in range(len(cols))]
     return wide.select(F.stack(F.lit(len(DESCRIBE_STATS)), *parts).alias("summary", *cols))
 
 

@@ -3,14 +3,16 @@
 Two forms of the same semantics:
 
 * DataFrame jobs (``tokenize`` ... ``tf_idf``) that produce tables in long
-  form -- one row per (document, term) -- built from explode + hash
-  aggregation.  Every (document, term) pair is reduced inside the map task
-  that exploded the document (its tokens never leave that task), so the
-  shuffle carries only distinct pairs; frequent terms are pre-aggregated
-  per task, and the TF-IDF join on ``term`` leaves skew to adaptive execution.
+  form -- one row per (document, term).  A document's terms are counted inside
+  its own row (sorted tokens, runs), so the (document, term) pairs are made
+  without a shuffle; the vocabulary is one aggregation by term, pre-aggregated
+  per task.  In the joins with the vocabulary the postings of a term are dealt
+  over ``SALTS`` reducers and the vocabulary is repeated for each, so a term
+  of every document is no hot key.
 * ``pyspark.ml`` stages (``*_stage``) for pipelines that need vectors.
 
-Both agree: tokens = ``RegexTokenizer(pattern='\\W+', gaps=True)``, stop
+Both agree up to ``vocab_size`` terms (no limit in long form unless given):
+tokens = ``RegexTokenizer(pattern='\\W+', gaps=True)``, stop
 words = ``StopWordsRemover`` (case-insensitive English list), vocabulary =
 ``CountVectorizer`` (terms in at least ``minDF`` documents, most frequent
 first), IDF = ``ln((N + 1) / (df + 1))``.
@@ -26,6 +28,7 @@ from fundscope.functions.columns import TOKEN_GAP_PATTERN, drop_stop_words, rege
 from fundscope.functions.stopwords import default_stop_words
 
 DEFAULT_VOCAB_SIZE = 1 << 18        # CountVectorizer default
+SALTS = 16                          # reducers that share a term's postings
 
 
 # ---------------------------------------------------------------- DataFrame jobs
@@ -49,11 +52,22 @@ def explode_positions(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
               .filter(F.col("token").isNotNull()))
 
 
+def term_counts(sorted_col: str) -> F.Column:
+    """array<struct<term, tf>> of a sorted token array: its runs and their lengths."""
+    token = lambda i: F.get(F.col(sorted_col), i)
+    n = F.size(sorted_col)
+    heads = F.filter(F.sequence(F.lit(0), n), lambda i: (i == 0) | (i == n) | (token(i) != token(i - 1)))
+    runs = F.zip_with(F.slice(heads, 1, F.size(heads) - 1), F.slice(heads, 2, F.size(heads) - 1),
+                      lambda i, j: F.struct(token(i).alias("term"), (j - i).cast("bigint").alias("tf")))
+    return F.when(n > 0, runs)
+
+
 def term_frequencies(df: DataFrame, id_col: str = "doc_id", tokens_col: str = "filtered") -> DataFrame:
-    """(id, term, tf): count of each term in each document."""
-    return (df.select(id_col, F.explode_outer(tokens_col).alias("term"))
-              .filter(F.col("term").isNotNull())
-              .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    """(id, term, tf): count of each term in each row; ids are unique, so nothing is shuffled."""
+    # The sorted array is a column of its own: an expression inside a lambda runs again for every element.
+    ordered = df.select(id_col, F.array_sort(F.filter(tokens_col, lambda t: t.isNotNull())).alias("_sorted"))
+    return (ordered.select(id_col, F.explode_outer(term_counts("_sorted")).alias("_t"))
+                   .select(id_col, "_t.term", "_t.tf").filter(F.col("term").isNotNull()))
 
 
 def _min_df_threshold(docs: DataFrame, min_df: float):
@@ -64,24 +78,18 @@ def _min_df_threshold(docs: DataFrame, min_df: float):
 
 
 def vocabulary(tf: DataFrame, docs: DataFrame, min_df: float = 1.0,
-               vocab_size: int | None = None, with_index: bool = False) -> DataFrame:
-    """(term, doc_freq, term_count[, term_index]) of terms in >= ``min_df`` documents.
+               vocab_size: int | None = None) -> DataFrame:
+    """(term, doc_freq, term_count) of terms in >= ``min_df`` documents.
 
     With ``vocab_size`` only the most frequent terms are kept (ties by term);
-    the cut is a top-n (each partition keeps its best ``vocab_size`` rows),
-    so the index window only ever sees ``vocab_size`` rows.
+    the cut is a top-n (each partition keeps its best ``vocab_size`` rows).
     """
     stats = (tf.groupBy("term")
                .agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").alias("term_count"))
                .filter(F.col("doc_freq") >= _min_df_threshold(docs, min_df)))
     if vocab_size is None:
         return stats
-    top = stats.orderBy(F.desc("term_count"), F.asc("term")).limit(vocab_size)
-    if with_index:
-        from pyspark.sql import Window
-        w = Window.orderBy(F.desc("term_count"), F.asc("term"))
-        top = top.withColumn("term_index", F.row_number().over(w) - 1)
-    return top
+    return stats.orderBy(F.desc("term_count"), F.asc("term")).limit(vocab_size)
 
 
 def idf_weights(vocab: DataFrame, docs: DataFrame, min_doc_freq: int = 0) -> DataFrame:
@@ -93,22 +101,23 @@ def idf_weights(vocab: DataFrame, docs: DataFrame, min_doc_freq: int = 0) -> Dat
                         .alias("idf"))
 
 
-def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(id, term, tf) for vocabulary terms only.
+def _salted(tf: DataFrame, terms: DataFrame, how: str) -> DataFrame:
+    """Join postings with a table of one row per term, a term's postings dealt over ``SALTS`` reducers."""
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    dealt = tf.withColumn("_salt", salt)
+    repeated = terms.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(repeated, ["term", "_salt"], how).drop("_salt")
 
-    The vocabulary side keeps ``term_count`` so that both sides are built from
-    the same (document, term) aggregation, which Spark then computes once and
-    reuses (one tokenizing pass over the documents instead of two).
-    """
-    v = vocab.select("term", F.col("term_count").alias("_tc")).filter(F.col("_tc") > 0)
-    return tf.join(v, "term", "left_semi")
+
+def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(id, term, tf) for vocabulary terms only."""
+    return _salted(tf, vocab.select("term"), "left_semi").select(tf.columns)
 
 
 def tf_idf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """(id, term, tf, tfidf) for vocabulary terms."""
-    v = idf.select("term", "idf", F.col("term_count").alias("_tc")).filter(F.col("_tc") > 0)
-    return (tf.join(v, "term")
-              .withColumn("tfidf", F.col("tf") * F.col("idf")).drop("idf", "_tc"))
+    joined = _salted(tf, idf.select("term", "idf"), "inner")
+    return joined.select(*tf.columns, (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 # ---------------------------------------------------------------- ML stages

@@ -430,7 +430,12 @@ def _grid_sql(reg_params, min_dfs) -> str:
 
 # The grids of the two searches, spelled out on this side too.
 SQL["param_grid"] = _grid_sql((1e-8, 1e-6, 1e-4, 1e-2), (55.0, 75.0, 95.0))
+SQL["param_grid_alt"] = _grid_sql((1e-7, 1e-5, 1e-3, 1e-1), (55.0, 75.0, 95.0))
 SQL["param_grid_large"] = _grid_sql(
     (1e-8, 1e-7, 1e-6, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0),
     (5.0, 10.0, 20.0, 30.0, 50.0, 75.0, 100.0, 125.0))
 SQL["word_count_incremental"] = with_(LINES, WORDS) + "select word, count(*) as count from words group by word"
+
+# Seeded 90/10 split: the first 8 hex digits of md5(seed:id) against 0.9 * 2**32 in hex.
+SQL["split_seeded"] = with_(LABELLED) + """
+  select doc_id, cast(substr(md5('12345:' || doc_id), 1, 8) >= 'e6666666' as integer) as part from src"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fundscope.operators import cleaning as cl
 from fundscope.sources import readers, sinks
+from fundscope.sources.schemas import RAW_CAMPAIGN_SCHEMA
 
 PREPARED_COLUMNS = ("project_id", "name", "desc", "goal", "keywords", "final_status",
                     "country2", "currency2", "deadline2", "created_at2", "launched_at2",
@@ -65,8 +66,12 @@ def prepare_campaigns_elapsed(raw: DataFrame) -> DataFrame:
 
 
 def run_prepare_job(spark: SparkSession, csv_path: str, out_path: str,
-                    variant: str = "common", schema=None) -> str:
-    """CSV in, Parquet out: the whole batch job."""
+                    variant: str = "common", schema=RAW_CAMPAIGN_SCHEMA) -> str:
+    """CSV in, Parquet out: the whole batch job.
+
+    The schema is given, so the input is read once and cannot choose its own
+    types; ``schema=None`` infers it, at the price of a second pass.
+    """
     raw = readers.read_csv(spark, csv_path, schema=schema)
     if variant == "common":
         return sinks.write_parquet(prepare_campaigns(raw), out_path)

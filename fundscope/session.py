@@ -3,7 +3,8 @@
 Round trips through files (CSV, text, Parquet, saved models) must land in a
 folder every executor can see.  On a cluster that folder is the one named by
 ``spark.checkpoint.dir``; we only pick our own (a fresh local temp folder)
-when the session has none, as in unit tests on ``local[*]``.
+when the session has none and the master is ``local[*]``, as in unit tests.
+On any other master a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -68,6 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect
             pass
         return root
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set and the master is {master}: "
+                           "name a folder there that all executors share")
     root = tempfile.mkdtemp(prefix="fundscope-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return root

@@ -49,12 +49,12 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_shipdate")
-    orders = read_table(spark, sf_dir, "orders", spread=False).select(
+    orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    customer = read_table(spark, sf_dir, "customer", spread=False).select(
+    customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment")
-    nation = read_table(spark, sf_dir, "nation", spread=False).select("n_nationkey")
-    part = read_table(spark, sf_dir, "part", spread=False).select(
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey")
+    part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_type", "p_brand")
 
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -95,7 +95,7 @@ def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` joined to ``labels`` in the shape of the prepared set."""
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", "source", "n_chars")
-    labels = read_table(spark, sf_dir, "labels", spread=False).select("doc_id", "quality")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = docs.join(labels, "doc_id")
     return j.select(
         F.col("doc_id"),
@@ -139,5 +139,5 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     # no spread: the partial aggregation already shrinks each split to its
     # distinct rows, so a round-robin shuffle first would only add work
-    return read_table(spark, sf_dir, "lineitem", spread=False).select(
+    return read_table(spark, sf_dir, "lineitem").select(
         "l_returnflag", "l_linestatus", "l_quantity")

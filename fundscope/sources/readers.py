@@ -45,38 +45,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Schemas of the (immutable) input tables, learned on the first read in this
-# process.  Without a schema every ``spark.read.parquet`` runs a job to read
-# Parquet footers before the query is even planned.
-_TABLE_SCHEMAS: dict[str, StructType] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One of the driver tables, ``<sf_dir>/<name>.parquet``.
-
-    ``spread``: see ``spread_small_scan``; dimension tables that are joined by
-    broadcast pass ``False``.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _TABLE_SCHEMAS.get(path)
-    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
-    _TABLE_SCHEMAS.setdefault(path, df.schema)
-    return spread_small_scan(spark, df) if spread else df
-
-
-def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in fewer splits than there are task slots.
-
-    A Parquet split is at least one row group, so a table written as one row
-    group is read by one task however many cores there are; everything fused
-    into the scan stage (casts, regex, tokenizing) then runs on one core.  A
-    large table arrives in at least as many splits as slots and is returned
-    unchanged, so no shuffle is added where the scan is already parallel.
-    Only the scan is planned here (no job runs).
-    """
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect has no RDD API: leave the scan as it is
-        return df
-    return df.repartition(slots) if n < slots else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver tables, ``<sf_dir>/<name>.parquet``."""
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")

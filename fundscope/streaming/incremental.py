@@ -8,27 +8,29 @@ that keep arriving in a folder:
   stream needs no state store and runs in append mode.
 * ``start_word_count_stream``  text files -> running word counts.  The counts
   live in the state store (one row per distinct word, partitioned by word
-  across ``spark.sql.shuffle.partitions``); each micro-batch writes the
-  complete table to Parquet through ``foreachBatch``, on the executors.
+  across ``spark.sql.shuffle.partitions``); each micro-batch writes the words
+  whose count changed, with the batch's number, to a folder of its own, so a
+  repeated batch replaces itself and what is there is never taken away.
+  ``read_word_counts`` gives the latest count of each word.
 
-Progress and state are checkpointed under ``spark.checkpoint.dir`` (shared
-storage), so a restarted query resumes where it stopped.
+Progress and state are checkpointed beside the output (``<out>_checkpoint``
+unless another place is named), so a restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fundscope.functions.columns import SENTINEL_TEXT
 from fundscope.operators import wordcount as wc
 from fundscope.plans import prepare as pp
-from fundscope.session import scratch_path
 from fundscope.sources.schemas import RAW_CAMPAIGN_SCHEMA
 
 
-def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
-    return checkpoint or scratch_path(spark, f"stream-checkpoint-{name}")
+def _checkpoint(out_dir: str, checkpoint: str | None) -> str:
+    return checkpoint or out_dir.rstrip("/") + "_checkpoint"
 
 
 def start_prepare_stream(spark: SparkSession, csv_dir: str, out_dir: str,
@@ -40,7 +42,7 @@ def start_prepare_stream(spark: SparkSession, csv_dir: str, out_dir: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     prepared = pp.prepare_campaigns(reader.csv(csv_dir))
     writer = (prepared.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", _checkpoint(spark, checkpoint, "prepare")))
+              .option("checkpointLocation", _checkpoint(out_dir, checkpoint)))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start(out_dir)
 
@@ -51,10 +53,16 @@ def start_word_count_stream(spark: SparkSession, text_dir: str, out_dir: str,
     lines = spark.readStream.text(text_dir)
     counts = wc.word_count(lines, sort=False)
 
-    def publish(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
 
-    writer = (counts.writeStream.outputMode("complete").foreachBatch(publish)
-              .option("checkpointLocation", _checkpoint(spark, checkpoint, "wordcount")))
+    writer = (counts.writeStream.outputMode("update").foreachBatch(publish)
+              .option("checkpointLocation", _checkpoint(out_dir, checkpoint)))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def read_word_counts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """word, count: the latest count of each word."""
+    return (spark.read.parquet(out_dir).groupBy("word")
+            .agg(F.max_by("count", F.col("batch_id").cast("long")).alias("count")))

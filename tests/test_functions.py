@@ -116,3 +116,46 @@ def test_stop_words_are_sparks_own(spark):
 
     from fundscope.functions.stopwords import default_stop_words
     assert list(default_stop_words()) == list(StopWordsRemover.loadDefaultStopWords("english"))
+
+
+def test_truncated_division_is_exact_over_bigint(spark):
+    from fundscope.functions import columns as fc
+    rows = [(2**63 - 1,), (-(2**63) + 1,), (2**53 + 1,), (-7,), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "x long").select(fc.truncated_div("x", 2)).collect()]
+    assert got == [(2**63 - 1) // 2, -((2**63 - 1) // 2), (2**53 + 1) // 2, -3, None]
+
+
+def test_describe_keeps_all_digits(spark):
+    from fundscope.operators import profile as pr
+    df = spark.createDataFrame([(2**53 + 1, "a"), (5, "3")], "x long, y string")
+    got = {r.summary: (r.x, r.y) for r in pr.describe(df).collect()}
+    assert got["max"] == (str(2**53 + 1), "a") and got["min"] == ("5", "3") and got["count"] == ("2", "2")
+
+
+def test_readers_see_new_columns_and_sinks_refuse_unknown_ones(spark, tmp_path):
+    import pytest
+
+    from fundscope.sources import readers, sinks
+    path = f"{tmp_path}/t.parquet"
+    spark.range(3).write.parquet(path)
+    assert readers.read_table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(3).selectExpr("id", "id + 1 as b").write.mode("overwrite").parquet(path)
+    assert readers.read_table(spark, str(tmp_path), "t").columns == ["id", "b"]
+    with pytest.raises(ValueError):
+        sinks.write_predictions(spark.range(3), f"{tmp_path}/p", ("id", "nope"))
+
+
+def test_checkpoint_folder_must_be_named_off_local(monkeypatch):
+    import pytest
+
+    from fundscope import session
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        sparkContext = Context()
+
+    monkeypatch.setattr(session, "_conf_checkpoint_dir", lambda s: None)
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())

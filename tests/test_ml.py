@@ -46,8 +46,8 @@ def test_vocabulary_and_idf_twin(spark, docs):
 def test_capped_vocabulary_keeps_the_most_frequent(spark, docs):
     tf = tx.term_frequencies(docs)
     full = {r.term: r.term_count for r in tx.vocabulary(tf, docs, 1.0).collect()}
-    cut = tx.vocabulary(tf, docs, 1.0, vocab_size=30, with_index=True).collect()
-    assert len(cut) == 30 and sorted(r.term_index for r in cut) == list(range(30))
+    cut = tx.vocabulary(tf, docs, 1.0, vocab_size=30).collect()
+    assert len(cut) == 30
     floor = min(r.term_count for r in cut)
     assert all(c <= floor for t, c in full.items() if t not in {r.term for r in cut})
     ml = CountVectorizer(inputCol="filtered", outputCol="raw", vocabSize=30).fit(docs)
@@ -55,13 +55,6 @@ def test_capped_vocabulary_keeps_the_most_frequent(spark, docs):
     assert above <= set(ml.vocabulary)
 
 
-def test_string_labels_twin(spark):
-    d = readers.read_table(spark, SF_SMALL, "documents")
-    model = StringIndexer(inputCol="source", outputCol="i").fit(d)
-    ours = [r.source for r in en.string_labels(d, "source").orderBy("index").collect()]
-    assert ours == list(model.labels)
-
-
 def test_threshold_rule_matches_classifier(spark):
     labelled = fx.labelled_docs(spark, SF_SMALL)
     model = tr.fit_pipeline(labelled, 2.0, 1e-4)
@@ -157,3 +150,50 @@ def test_train_job_end_to_end(spark):
     reloaded = TrainValidationSplitModel.load(out.search_path)
     assert [round(m, 9) for m in reloaded.validationMetrics] == \
            [round(r.metric, 9) for r in out.grid.orderBy("candidate").collect()]
+
+
+def test_split_does_not_depend_on_the_layout(spark):
+    labelled = fx.labelled_docs(spark, SF_SMALL)
+    parts = [[sorted(r.doc_id for r in p.select("doc_id").collect()) for p in md.split(labelled.repartition(n))] for n in (1, 2, 8)]
+    assert parts[0] == parts[1] == parts[2] and all(parts[0])
+    assert sorted(parts[0][0] + parts[0][1]) == sorted(r.doc_id for r in labelled.collect())
+
+
+def test_features_are_fitted_once_per_fold_and_min_df(spark, monkeypatch):
+    """Metrics equal a CrossValidator on the same folds, which refits the features for every candidate."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.tuning import CrossValidator
+    tokens = tr.training_set(fx.labelled_docs(spark, SF_SMALL))
+    stages, cv = md.feature_stages(min_df=2.0, tokenize=False)
+    lr = md.logistic_regression(max_iter=5)
+    grid = md.param_grid(lr, cv, (1e-4, 1e-1), (2.0,))
+    part = md.split_part([1, 1], "x", "doc_id")
+    folds = [(tokens.filter(part != k), tokens.filter(part == k)) for k in (0, 1)]
+    fits = []
+    real = tr.Pipeline.fit
+    monkeypatch.setattr(tr.Pipeline, "fit", lambda self, *a: fits.append(1) or real(self, *a))
+    got = tr.fold_metrics(folds, stages, cv, lr, grid, ev.f1_evaluator(), 2)
+    assert len(fits) == 2                                       # 2 folds x 1 minDF, not 4
+    monkeypatch.undo()
+    plain = CrossValidator(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=grid, evaluator=ev.f1_evaluator(),
+                           numFolds=2, foldCol="fold").fit(tokens.withColumn("fold", part))
+    for mine, theirs in zip(zip(*got), plain.avgMetrics):
+        assert math.isclose(sum(mine) / 2, theirs, abs_tol=1e-6)
+
+
+def test_frequent_terms_are_dealt_over_reducers(spark):
+    docs = spark.createDataFrame([(k, ["every", f"w{k % 7}", "every"]) for k in range(200)], "doc_id long, filtered array<string>")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tf = tx.term_frequencies(docs)
+        plan = tf._jdf.queryExecution().toString()
+        assert "Exchange" not in plan
+        idf = tx.idf_weights(tx.vocabulary(tf, docs, 1.0), docs)
+        got = tx.tf_idf(tf, idf)
+        assert "BroadcastHashJoin" not in got._jdf.queryExecution().toString()
+        rows = {(r.doc_id, r.term): r.tf for r in got.collect()}
+        assert rows == {(k, t): n for k in range(200) for t, n in (("every", 2), (f"w{k % 7}", 1))}
+        assert tx.restrict_to_vocabulary(tf, tx.vocabulary(tf, docs, 100.0)).count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

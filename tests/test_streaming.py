@@ -33,16 +33,25 @@ def test_prepare_stream_over_many_batches(spark):
     assert _same(readers.read_parquet(spark, out), want)
 
 
-def test_word_count_stream_keeps_state_across_runs(spark):
+def test_word_count_stream_goes_on_after_a_restart(spark):
     lines = fx.document_lines(spark, SF_SMALL).select("value")
     first, second = lines.randomSplit([0.5, 0.5], seed=7)
-    txt = scratch_path(spark, "lines")
-    out = scratch_path(spark, "counts")
-    ckpt = scratch_path(spark, "ckpt")
+    txt, out = scratch_path(spark, "lines"), scratch_path(spark, "counts")
     sinks.write_text(first, txt + "/a")
-    inc.start_word_count_stream(spark, txt + "/*", out, checkpoint=ckpt).awaitTermination()
+    inc.start_word_count_stream(spark, txt + "/*", out).awaitTermination()
     sinks.write_text(second, txt + "/b")          # new files arrive; the restarted query resumes
-    inc.start_word_count_stream(spark, txt + "/*", out, checkpoint=ckpt).awaitTermination()
-    got = readers.read_parquet(spark, out)
+    inc.start_word_count_stream(spark, txt + "/*", out).awaitTermination()
     want = wc.word_count(readers.read_text(spark, txt + "/*"), sort=False)
-    assert _same(got, want)
+    assert _same(inc.read_word_counts(spark, out), want)
+
+
+def test_prepare_stream_goes_on_after_a_restart(spark):
+    rows = fx.campaigns(spark, SF_SMALL)
+    csv, out = scratch_path(spark, "campaigns_csv"), scratch_path(spark, "prepared_stream")
+    first, second = rows.randomSplit([0.5, 0.5], seed=7)
+    sinks.write_sentinel_csv(first.coalesce(1), csv + "/a")
+    inc.start_prepare_stream(spark, csv + "/*", out).awaitTermination()
+    sinks.write_sentinel_csv(second.coalesce(1), csv + "/b")
+    inc.start_prepare_stream(spark, csv + "/*", out).awaitTermination()
+    want = pp.prepare_campaigns(readers.read_csv(spark, csv + "/*", schema=RAW_CAMPAIGN_SCHEMA))
+    assert _same(readers.read_parquet(spark, out), want)
