@@ -11,18 +11,20 @@ edges over the same minimizer are one path piece, about one row for 20 words.
 Equal edges have equal minimizers, so
 
 1. one aggregation by minimizer keeps those that occur in several documents
-   (pre-aggregated: a passage in a third of all documents is one row a task);
-2. a join brings back the pieces of the kept minimizers.  Where all documents
-   run through the same piece the graph does not branch: the piece stays
-   whole, and its first source (smallest document, position) covers it;
-3. where they differ the graph branches, and only these pieces are taken apart
-   into single edges; an aggregation and a join on the edge find their source;
-4. repeated pieces and edges that follow each other, in the document and in
-   the same source, are joined to maximal repeated paths (``repeats``).
-
-Every piece and edge is held against its source coordinates: equal 64-bit
-hash of the words, and equal second 64-bit digest of the words at the source.
-Texts are shuffled twice (to take apart, and to cut), k-mers never.
+   (pre-aggregated: a passage in a third of all documents is one row a task),
+   and a join brings back their pieces;
+2. equal pieces of a minimizer are one nonbranching path: its first source
+   (smallest document, position) covers it in all later documents whole;
+3. where a minimizer has different pieces the graph branches.  Only the first
+   source of each such piece is taken apart into single edges; an aggregation
+   and a join on the edge find the source of each edge;
+4. pieces and edges that follow each other, in the document and in the same
+   source, are joined to maximal repeated paths, and cut out.
+
+Pieces are equal if the 64-bit hashes of the minimizer and of all their words
+are; edges are held against their source coordinates by a 64-bit hash and a
+second 32-bit digest of their words.  Texts are shuffled twice (to take apart, and to cut), k-mers
+only where the graph branches.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from fundscope.llm.arrays import NON_SPACE, Sums, U64, Words, chunks, mix, range
 from fundscope.llm.storage import stored
 
 SPAN = 50
-SEED_WORDS = 12
+SEED_WORDS = 8
 PLACE = U64((1 << 28) - 1)      # bits of a word's number in a run of documents
 _SECOND = U64(0xA0761D6478BD642F)
 
@@ -50,12 +52,12 @@ def _digests(words: Words) -> tuple[Sums, Sums]:
 
 
 def pieces(words: Words, span: int, seed_words: int) -> dict[str, np.ndarray]:
-    """Path pieces of a run of documents: doc, start (word of the document), n (edges), anchor, piece, proof."""
-    first, second = _digests(words)
+    """Path pieces of a run of documents: doc, start (word of the document), n (edges), anchor, piece."""
+    first = Sums(words.hashes())
     n_seeds = len(words) - seed_words + 1
     count = np.maximum(0, words.counts - span + 1)
     if not count.sum():
-        return {k: np.zeros(0, np.int64) for k in ("doc", "start", "n", "anchor", "piece", "proof")}
+        return {k: np.zeros(0, np.int64) for k in ("doc", "start", "n", "anchor", "piece")}
     at = np.arange(n_seeds)
     seed = first(at, at + seed_words)
     low = (seed & ~PLACE) | at.astype(U64)                      # the smallest: by hash, then the leftmost
@@ -74,12 +76,12 @@ def pieces(words: Words, span: int, seed_words: int) -> dict[str, np.ndarray]:
     begin = edge[head]
     end = begin + n + span - 1
     return {"doc": doc[head], "start": begin - words.doc[doc[head]], "n": n, "anchor": seed[where[head]].view(np.int64),
-            "piece": first(begin, end).view(np.int64), "proof": second(begin, end).view(np.int64)}
+            "piece": first(begin, end).view(np.int64)}
 
 
 def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
             seed_words: int | None = None) -> DataFrame:
-    """Repeated stretches: id, mark (xxhash64 of the row's text), start, n (edges), source_id, source_start.
+    """Repeated stretches: id, mark (hash of the row's text), start, n (edges), source_id, source_start.
 
     ``start`` and ``source_start`` count words; a stretch covers n + span - 1
     words and is equal to the words at its source, which has a smaller id.
@@ -87,11 +89,11 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """
     seed_words = seed_words or min(SEED_WORDS, span)
     id_type = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"),
+    rows = docs.select(F.col(id_col).alias("id"), F.hash(text_col).alias("mark"),
                        F.col(text_col).alias("text")).where("id is not null")
     schema = T.StructType([
-        *[T.StructField(c, T.LongType()) for c in ("anchor", "piece", "proof")], T.StructField("id", id_type),
-        T.StructField("mark", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType())])
+        T.StructField("anchor", T.LongType()), T.StructField("piece", T.LongType()), T.StructField("id", id_type),
+        T.StructField("mark", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,28 +101,27 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 p = pieces(Words(data, offsets, NON_SPACE), span, seed_words)
                 doc = pa.array(p["doc"] + row)
                 yield pa.record_batch([
-                    *[pa.array(p[c]) for c in ("anchor", "piece", "proof")], batch.column(0).take(doc),
-                    batch.column(1).take(doc), pa.array(p["start"].astype(np.int32)), pa.array(p["n"].astype(np.int32))],
-                    names=schema.names)
-
-    all_pieces = stored(rows.mapInArrow(cut, schema), "pieces")
-    source = F.min(F.struct("id", "start", "proof")).alias("source")
-    kept = (all_pieces.groupBy("anchor")
-            .agg(F.min("piece").alias("one"), F.max("piece").alias("other"), F.max("id").alias("last"), source)
-            .where("source.id < last"))
-    found = (all_pieces.join(kept, "anchor")
-             .where("one <> other or (id > source.id and proof = source.proof)")
-             .select("id", "mark", "start", "n", F.when(F.expr("one = other"), F.col("source")).alias("source")))
-    found = stored(found, "repeated")
-    plain = found.where("source is not null").select("id", "mark", "start", "n", F.col("source.id").alias("source_id"),
-                                                     F.col("source.start").alias("source_start"))
-
-    # branching pieces, taken apart
-    parts = (found.where("source is null").groupBy("id", "mark")
+                    pa.array(p["anchor"]), pa.array(p["piece"]), batch.column(0).take(doc), batch.column(1).take(doc),
+                    pa.array(p["start"].astype(np.int32)), pa.array(p["n"].astype(np.int32))], names=schema.names)
+
+    all_pieces = rows.mapInArrow(cut, schema)
+    # The small sides of the joins are tables of their own, so that adaptive execution can split a
+    # hot minimizer, piece or edge on the other side.
+    several = all_pieces.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    found = stored(all_pieces.join(stored(several.select("anchor"), "anchors"), "anchor"), "repeated")
+
+    kinds = found.groupBy("anchor", "piece").agg(F.min(F.struct("id", "start")).alias("source"))
+    forks = kinds.groupBy("anchor").agg((F.count("*") > 1).alias("branching"))
+    traced = found.join(stored(kinds.join(forks, "anchor"), "kinds"), ["anchor", "piece"])
+    plain = traced.where("id > source.id").select("id", "mark", "start", "n", F.col("source.id").alias("source_id"),
+                                                  F.col("source.start").alias("source_start"))
+
+    # the first sources of branching pieces, taken apart
+    parts = (traced.where("branching and id = source.id").groupBy("id", "mark")
              .agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("parts")))
     edge_schema = T.StructType([
-        T.StructField("edge", T.LongType()), T.StructField("proof", T.LongType()), T.StructField("id", id_type),
-        T.StructField("mark", T.LongType()), T.StructField("start", T.IntegerType())])
+        T.StructField("edge", T.LongType()), T.StructField("proof", T.IntegerType()), T.StructField("id", id_type),
+        T.StructField("mark", T.IntegerType()), T.StructField("start", T.IntegerType())])
 
     def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,17 +138,17 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 begin = words.doc[doc - row] + start
                 doc = pa.array(doc)
                 yield pa.record_batch([
-                    pa.array(first(begin, begin + span).view(np.int64)), pa.array(second(begin, begin + span).view(np.int64)),
+                    pa.array(first(begin, begin + span).view(np.int64)), pa.array((second(begin, begin + span) >> U64(32)).astype(np.uint32).view(np.int32)),
                     batch.column(0).take(doc), batch.column(1).take(doc), pa.array(start.astype(np.int32))],
                     names=edge_schema.names)
 
     edges = stored(rows.join(parts, ["id", "mark"]).select("id", "mark", "text", "parts").mapInArrow(take_apart, edge_schema), "edges")
-    known = edges.groupBy("edge").agg(F.max("id").alias("last"), source).where("source.id < last")
-    single = (edges.join(known.select("edge", "source"), "edge").where("id > source.id and proof = source.proof")
+    known = edges.groupBy("edge").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    again = stored(edges.join(stored(known.select("edge"), "repeated_edges"), "edge"), "edge_sources")
+    sources = stored(again.groupBy("edge").agg(F.min(F.struct("id", "start", "proof")).alias("source")), "first_edges")
+    single = (again.join(sources, "edge").where("id > source.id and proof = source.proof")
               .select("id", "mark", "start", F.lit(1).alias("n"), F.col("source.id").alias("source_id"),
                       F.col("source.start").alias("source_start")))
-
-
     return plain.unionByName(single)
 
 
@@ -161,7 +162,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sp
     found = repeats(docs, id_col=id_col, text_col=text_col, span=span)
     per_row = found.groupBy("id", "mark").agg(F.sort_array(F.collect_set(
         F.struct("start", "n", "source_id", "source_start"))).alias("parts"))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.hash(text_col).alias("mark"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType
     path = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                          T.StructField("source_id", id_type), T.StructField("source_start", T.LongType())])
