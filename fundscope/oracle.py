@@ -143,6 +143,10 @@ _CF = with_(CAMPAIGNS, CASTED, FEATURES)
 _CP = with_(CAMPAIGNS, CASTED, FEATURES, PREPARED)
 _CE = with_(CAMPAIGNS, CASTED, ELAPSED)
 
+# Columns of the feature view in the order of the job.
+FEATURE_ORDER = """project_id, name, "desc", keywords, goal, final_status, country2, currency2,
+      deadline2, created_at2, launched_at2, days_campaign, hours_prepa, text"""
+
 SPARK_TYPE = """case data_type
       when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
       when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz'
@@ -218,13 +222,14 @@ SQL: dict[str, str] = {
     "drop_leakage": _CC
     + "select * exclude (disable_communication, backers_count, state_changed_at) from casted",
     # ------------------------------------------------------------ filters
-    "filter_durations": _CF + "select * from feats where hours_prepa >= 0 and days_campaign >= 0",
+    "filter_durations": _CF + f"select {FEATURE_ORDER} from feats where hours_prepa >= 0 and days_campaign >= 0",
     "filter_goal": _CC + "select * from casted where goal > 0",
     "filter_classes": _CC + "select * from casted where final_status in (0, 1)",
     "filter_sql_predicate": _CC + "select * from casted where final_status = 0 or final_status = 1",
-    "null_fill": _CF + """select * replace (coalesce(goal, -1) as goal,
-      coalesce(days_campaign, -1) as days_campaign, coalesce(hours_prepa, -1) as hours_prepa)
-      from feats""",
+    "null_fill": _CF + f"""select {FEATURE_ORDER} from (
+      select * replace (coalesce(goal, -1) as goal,
+        coalesce(days_campaign, -1) as days_campaign, coalesce(hours_prepa, -1) as hours_prepa)
+      from feats)""",
     "drop_duplicates": "select distinct l_returnflag, l_linestatus, l_quantity from lineitem",
     # ------------------------------------------------------------ scalar functions
     "repair_country": _C

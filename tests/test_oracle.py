@@ -18,7 +18,7 @@ def test_query_matches_oracle(spark, duck, key):
     res = duck.execute(se.oracle_sql()[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
-    assert sorted(df.columns) == sorted(ocols)
+    assert df.columns == ocols
     spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     duck_types = {d[0]: DUCK_TO_SPARK.get(str(d[1]), str(d[1])) for d in res.description}
     assert spark_types == duck_types
