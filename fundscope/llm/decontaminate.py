@@ -14,10 +14,10 @@ terms, each moved by its own offset, are intersected with them from rare to
 frequent.  What is left are exact phrase matches.  With ``slop`` > 0 a second
 pass accepts every term within ``slop`` words of its place (proximity).
 
-The test passages are the stated query set.  They are read in blocks of at
-most ``block_words`` words, and each block is broadcast by itself, so the
-size of a broadcast is bounded and a task holds one block at a time; the
-number of blocks grows with the test set.
+The test passages are the stated query set.  They are read in blocks of about
+``block_words`` words (some 24 bytes a word), and each block is broadcast by
+itself: the driver holds one block at a time and the size of a broadcast is
+bounded; the number of blocks grows with the test set.
 """
 
 from __future__ import annotations
