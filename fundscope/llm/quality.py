@@ -78,7 +78,7 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
     With one label only, or none, every score is the share of label 1 (0 where nothing is labelled).
     """
     labelled = labelled.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
-    chosen = labelled.dropDuplicates(["id"]).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_train)
+    chosen = labelled.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_train)
     train = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .join(F.broadcast(chosen), "id").select("id", "label", "text"))   # at most max_train small rows
 
@@ -101,7 +101,7 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
     rows = train.mapInArrow(bags, schema).toArrow().to_pylist()             # at most max_train rows
     rows.sort(key=lambda r: (str(r["id"]), r["ids"]))
     return train_bags([(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["many"], np.float32)) for r in rows],
-                      np.array([int(r["label"] != 0) for r in rows]), seed)
+                      np.array([int(r["label"] != 0) for r in rows], np.int64), seed)
 
 
 def train_bags(bags: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, seed: int = 7) -> Model:

@@ -64,7 +64,7 @@ def test_ngrams_are_a_set_per_document():
     offsets = np.cumsum([0, *map(len, text)])
     doc, bucket = toxicity.buckets(np.frombuffer(data, np.uint8), offsets)
     size = np.bincount(doc, minlength=4).tolist()
-    assert size == [3 + 3 + 3, 0, 0, 3 + 3 + 2]
+    assert size == [3 + 3 + 3 + 3, 0, 0, 3 + 2 + 1]          # 4 to 7 characters
     assert set(bucket[doc == 3]) <= set(bucket[doc == 0])
 
 
