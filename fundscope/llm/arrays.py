@@ -8,14 +8,13 @@ hashes the words of such a run without a Python loop over words.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 U64 = np.uint64
 
@@ -46,18 +45,22 @@ BASE = 0x5851F42D4C957F2D
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    one = np.ones(1, U64)
-    up, down = (np.concatenate([one, np.cumprod(np.full((1 << bits) - 1, b, U64))]) for b in (BASE, BASE_INVERSE))
-    return up, down
+_POWERS = [np.ones(1, U64), np.ones(1, U64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, n of each at least; the longest so far are kept."""
+    if len(_POWERS[0]) < n:
+        size = 1 << int(n - 1).bit_length()
+        _POWERS[:] = [np.concatenate([np.ones(1, U64), np.cumprod(np.full(size - 1, b, U64))]) for b in (BASE, BASE_INVERSE)]
+    return _POWERS
 
 
 class Sums:
     """Hashes of any slices of a sequence of 64-bit values, from prefix sums."""
 
     def __init__(self, values: np.ndarray):
-        up, self.down = _powers(max(10, int(len(values)).bit_length()))
+        up, self.down = _powers(len(values) + 1)
         self.prefix = np.zeros(len(values) + 1, U64)
         np.cumsum(values * up[: len(values)], out=self.prefix[1:])
 

@@ -1,7 +1,7 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 ``build_index`` stores the token postings of the whole corpus: documents are
-dealt into shards of about a million words, and each shard is one row that
+dealt into shards of some hundred thousand words, and each shard is one row that
 holds its documents, its terms (sorted 64-bit hashes) and, term by term, the
 sorted positions.  A shard is built inside one task and never shuffled, as in
 a document-partitioned search engine; a frequent term is spread over all
@@ -36,7 +36,7 @@ from fundscope.llm.storage import stored
 
 WINDOW = 13
 MIN_SHARE = 20            # contaminated: at least one word in 20 is hit
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BLOCK_WORDS = 1 << 18
 CANDIDATES = 1 << 21      # candidates that are held at a time
 

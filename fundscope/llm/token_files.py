@@ -39,7 +39,7 @@ from fundscope.session import scratch_path
 LENGTH = 2048
 SEQUENCES = 128            # per batch
 END_ID = 1
-CACHED_PARTS = 2_000_000   # per worker (some 60 MB); only saves time
+CACHED_PARTS = 1_000_000   # per worker (some 30 MB); only saves time
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -234,7 +234,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, folder: str | None = N
         with fs.open_output_stream(f"{at}/{name}.arrow") as sink, fs.open_output_stream(f"{at}/{name}.docs.arrow") as side:
             out, index = _SequenceWriter(sink, length, encode.dtype), pa.ipc.new_file(side, fields)
             for batch in itertools.chain([start], batches):
-                for row, end, data, offsets in chunks(batch.column(1)):
+                for row, end, data, offsets in chunks(batch.column(1), 1 << 20):
                     ids, count = encode(data, offsets, end_id)
                     place = out.total + np.cumsum(count) - count
                     index.write_batch(pa.record_batch([batch.column(0).slice(row, end - row), pa.array(place),
