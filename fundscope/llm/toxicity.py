@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier on character n-grams, scaled by naive Bayes log-count ratios.
 
-A document is the set of its character n-grams (3 to 5 characters, case
+A document is the set of its character n-grams (4 to 7 characters, case
 folded, hashed into 2**20 buckets).  ``fit`` counts, with Spark, in how many
 toxic and other labelled documents each bucket occurs; the smoothed log ratio
 of the two shares is the bucket's value.  Buckets whose ratio is not clearly
@@ -23,15 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundscope.llm.arrays import characters, chunks
+from fundscope.llm.arrays import characters, chunks, distinct
 
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6, 7)
 BITS = 20
 MAX_TRAIN = 10_000
 MAX_FEATURES = 1 << 15
-MIN_Z = 3.0
-MIN_DOCS = 5
-L2 = 1e-4
+MIN_Z = 4.0
+MIN_DOCS = 3
+L2 = 1e-3
 STEPS = 150
 
 
@@ -44,6 +44,7 @@ class Model:
 def buckets(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(document, bucket) pairs of a run of documents, each pair once, sorted; only wanted buckets if given."""
     value, bound = characters(data, offsets, lower=True)
+    owner = np.repeat(np.arange(len(bound) - 1), np.diff(bound))
     h = value * np.uint32(0x9E3779B1)
     keys = []
     for n in range(2, max(SIZES) + 1):
@@ -54,10 +55,10 @@ def buckets(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = N
             continue
         b = ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D + 2 * n)) >> np.uint32(32 - BITS)
         at = np.arange(len(b)) if wanted is None else np.flatnonzero(wanted[b])
-        doc = np.searchsorted(bound, at, "right") - 1
+        doc = owner[at]
         inside = at + n <= bound[doc + 1]
         keys.append((doc[inside] << BITS) | b[at[inside]].astype(np.int64))
-    key = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+    key = distinct(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
     return key >> BITS, key & ((1 << BITS) - 1)
 
 
@@ -74,7 +75,7 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
     as its score (0 where nothing is labelled).
     """
     labelled = labelled.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
-    chosen = sample(labelled.dropDuplicates(["id"]), "id", max_train)
+    chosen = sample(labelled.groupBy("id").agg(F.max("label").alias("label")), "id", max_train)
     train = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .join(F.broadcast(chosen), "id").select("label", "text"))   # at most max_train small rows
 
