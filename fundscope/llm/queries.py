@@ -89,7 +89,16 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return _deduped_lines(spark, sf_dir, line_dedup.MIN_LINES)
+
+
+def op8_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every later copy of a run of lines goes, also of one or two lines."""
+    return _deduped_lines(spark, sf_dir, 1)
+
+
+def _deduped_lines(spark: SparkSession, sf_dir: str, min_lines: int) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), min_lines=min_lines)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "shared_depth")
 
 
@@ -132,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_line_dedup": op8_line_dedup,
+    "op8_line_dedup_whole": op8_line_dedup_whole,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
 }

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fundscope.llm import line_dedup, simhash, substring_dedup
+from fundscope.llm import line_dedup, queries, simhash, substring_dedup
 from fundscope.llm.graph import components
+from tests.conftest import SF_SMALL
 from tests.llm import brute, cases
 
 
@@ -94,6 +95,14 @@ def test_suffix_array_is_sorted_and_depths_hold(spark):
         assert r.depth == (0 if not longest else 1 << (longest.bit_length() - 1)), (mine, longest, r.depth)
 
 
+def test_whole_line_dedup_query_cuts_runs_of_one_and_two_lines(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    got = {r.doc_id: r for r in queries.QUERIES["op8_line_dedup_whole"](spark, SF_SMALL).collect()}
+    want, cut = line_brute(docs, 1), line_brute(docs, line_dedup.MIN_LINES)
+    assert {d: (r.n_lines, r.n_removed, r.kept_sha256) for d, r in got.items()} == {d: (*x[:2], brute.sha(x[2])) for d, x in want.items()}
+    assert sum(x[1] for x in want.values()) > sum(x[1] for x in cut.values())
+
+
 def test_line_dedup_empty(spark):
     assert line_dedup.dedup_lines(cases.frame(spark, [])).collect() == []
 
