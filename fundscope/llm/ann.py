@@ -17,10 +17,14 @@ Equal vectors are one point of the curves, with the k + 1 smallest ids of
 their group (all that any query can need), so a vector in a third of all rows
 takes one place.  Scores are sums over the components in their order, in
 double precision, and so do not depend on how rows are dealt out.
+
+Vectors of different lengths have no inner product: each length has curves,
+blocks and a reach of its own, and is searched among its own kind.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,6 +93,15 @@ def _vectors(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.float64).reshape(len(column), -1)
 
 
+def _by_size(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of components, rows, vectors) of each length of the vectors in ``column``."""
+    packed = column.to_pylist()
+    sizes = np.array([len(x) // 8 for x in packed], np.int64)
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        yield size, at, _vectors([packed[k] for k in at])
+
+
 def _nearest(queries: np.ndarray, q_ids: np.ndarray, points: np.ndarray, p_ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(query id, point id, score) of the k nearest points of each query, ties to the smaller id."""
     out = []
@@ -109,19 +122,22 @@ def _nearest(queries: np.ndarray, q_ids: np.ndarray, points: np.ndarray, p_ids:
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _size() -> Column:
+    """Number of components of the packed vectors in column ``vec``."""
+    return (F.octet_length("vec") / 8).cast("int")
+
+
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """id and vec (its doubles as bytes) of the rows that take part.
 
-    Null ids and vectors, vectors that are all zero or hold null or non-finite
-    components, and vectors of another length than the longest usable one take
-    no part.  Of rows with equal id and vector one does.
+    Null ids and vectors, and vectors that are all zero or hold null or
+    non-finite components take no part.  Of rows with equal id and vector one does.
     """
     v = F.col(vector_col)
     fit = v.isNotNull() & F.col(id_col).isNotNull() & F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     kept = df.where(F.coalesce(fit, F.lit(False))).select(F.col(id_col).cast("long").alias("id"),
                                                           v.cast("array<double>").alias("v"))
-    size = kept.agg(F.max(F.size("v")).alias("s"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,7 +147,7 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
             vec = [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
             yield pa.record_batch([batch.column(0), pa.array(vec, pa.binary())], names=["id", "vec"])
 
-    return kept.where(F.size("v") == size.scalar()).mapInArrow(packed, "id long, vec binary").distinct()
+    return kept.mapInArrow(packed, "id long, vec binary").distinct()
 
 
 def nearest(df: DataFrame, k: int, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -139,8 +155,8 @@ def nearest(df: DataFrame, k: int, queries: Column, *, id_col: str = "vec_id", v
     """query_id, rank (from 1), vec_id, score: the k nearest found of each query row, best first.
 
     ``queries`` is a condition on column ``id``; candidates are all rows with
-    another id.  Ties go to the smaller id.  ``reach`` (blocks) is calibrated
-    to ``recall`` if not given.  Fewer candidates than k give them all.
+    another id and a vector as long.  Ties go to the smaller id.  ``reach``
+    (blocks) is calibrated to ``recall`` for each length if not given.  Fewer candidates than k give them all.
     """
     rows = stored(usable(df, id_col, vector_col), "vectors")
     small = Window.partitionBy("vec").orderBy("id")
@@ -151,118 +167,142 @@ def nearest(df: DataFrame, k: int, queries: Column, *, id_col: str = "vec_id", v
                     .select(F.element_at("ids", 1).alias("point"), "vec", "ids", F.coalesce("asked", F.lit(False)).alias("asked")), "points")
     placed = _placed(points, curves, block)
     if reach is None:
-        reach = calibrate(points, placed, k, recall)
-    rows = placed.select("curve", "block", "point", "vec", F.lit(None).cast("double").alias("floor"), F.lit(False).alias("query"))
+        reaches = calibrate(points, placed, k, recall)
+        far = F.lit(0)
+        for size, blocks in reaches.items():
+            far = F.when(F.col("size") == size, blocks).otherwise(far)
+        reach = max(reaches.values(), default=0)
+    else:
+        far = F.lit(reach)
+    rows = placed.select("size", "curve", "block", "point", "vec", F.lit(None).cast("double").alias("floor"), F.lit(False).alias("query"))
     own = placed.where("asked")
     found = _searched(rows, own.withColumn("floor", F.lit(float("-inf"))), k)
     if reach:
         # what the own blocks found sets a floor: other blocks return only what is at least as near
         found = stored(found, "own_blocks")
-        kth = Window.partitionBy("asker").orderBy(F.desc("score"), "point")
+        kth = Window.partitionBy("size", "asker").orderBy(F.desc("score"), "point")
         floors = (found.withColumn("k", F.row_number().over(kth)).where(F.col("k") == k + 1)
-                  .select(F.col("asker").alias("point"), F.col("score").alias("floor")))
-        away = F.filter(F.sequence(F.lit(-reach), F.lit(reach)), lambda d: d != 0)
-        looks = (own.join(floors, "point", "left").fillna({"floor": float("-inf")})
+                  .select("size", F.col("asker").alias("point"), F.col("score").alias("floor")))
+        away = F.filter(F.sequence(-far, far), lambda d: d != 0)
+        looks = (own.join(floors, ["size", "point"], "left").fillna({"floor": float("-inf")})
                  .withColumn("step", F.explode(away)).withColumn("block", F.col("block") + F.col("step")))
-        found = found.unionByName(_searched(rows, looks, k)).groupBy("asker", "point").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("asker").orderBy(F.desc("score"), "point")
+        found = found.unionByName(_searched(rows, looks, k)).groupBy("size", "asker", "point").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("size", "asker").orderBy(F.desc("score"), "point")
     found = found.withColumn("k", F.row_number().over(best)).where(F.col("k") <= k + 1).drop("k")
-    members = found.join(points.select("point", "ids"), "point").select("asker", "score", F.explode("ids").alias("vec_id"))
-    owner = asked.join(points.where("asked").select("vec", F.col("point").alias("asker")), "vec").select("asker", "query_id")
+    size = _size().alias("size")
+    members = (found.join(points.select(size, "point", "ids"), ["size", "point"])
+               .select("size", "asker", "score", F.explode("ids").alias("vec_id")))
+    owner = (asked.join(points.where("asked").select("vec", F.col("point").alias("asker")), "vec")
+             .select(size, "asker", "query_id"))
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (owner.join(members, "asker").where("vec_id <> query_id").withColumn("rank", F.row_number().over(last))
+    return (owner.join(members, ["size", "asker"]).where("vec_id <> query_id").withColumn("rank", F.row_number().over(last))
             .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
 
 def _searched(rows: DataFrame, looks: DataFrame, k: int) -> DataFrame:
-    """asker, point, score: the k + 1 nearest rows of each block that a query looks at, from its floor up."""
+    """size, asker, point, score: the k + 1 nearest rows of each block that a query looks at, from its floor up."""
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         q, p = group[group["query"]], group[~group["query"]]
         if not len(q) or not len(p):
-            return pd.DataFrame({"asker": np.zeros(0, np.int64), "point": np.zeros(0, np.int64), "score": np.zeros(0)})
+            return pd.DataFrame({"size": np.zeros(0, np.int32), "asker": np.zeros(0, np.int64), "point": np.zeros(0, np.int64), "score": np.zeros(0)})
         ids = q["point"].to_numpy()
         asker, point, score = _nearest(_vectors(q["vec"]), ids, _vectors(p["vec"]), p["point"].to_numpy(), k + 1)
         order = np.argsort(ids)
         keep = score >= q["floor"].to_numpy()[order[np.searchsorted(ids[order], asker)]]
-        return pd.DataFrame({"asker": asker[keep], "point": point[keep], "score": score[keep]})
+        return pd.DataFrame({"size": np.full(int(keep.sum()), group["size"].iloc[0], np.int32), "asker": asker[keep], "point": point[keep], "score": score[keep]})
 
-    both = rows.unionByName(looks.select("curve", "block", "point", "vec", "floor", F.lit(True).alias("query")))
-    return (both.groupBy("curve", "block").applyInPandas(search, "asker long, point long, score double")
-            .groupBy("asker", "point").agg(F.max("score").alias("score")))
+    both = rows.unionByName(looks.select("size", "curve", "block", "point", "vec", "floor", F.lit(True).alias("query")))
+    return (both.groupBy("size", "curve", "block").applyInPandas(search, "size int, asker long, point long, score double")
+            .groupBy("size", "asker", "point").agg(F.max("score").alias("score")))
 
 
 def _placed(points: DataFrame, curves: int, block: int) -> DataFrame:
-    """Every point once per curve, with its block: curve, block, point, vec, asked."""
+    """Every point once per curve, with its block: size, curve, block, point, vec, asked."""
 
     def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield pa.record_batch([pa.array([float(np.sqrt((_vectors(batch.column(0).to_pylist()) ** 2).sum(axis=1)).max())])], names=["r"])
+            for size, _, vectors in _by_size(batch.column(0)):
+                yield pa.record_batch([pa.array([size], pa.int32()), pa.array([float(np.sqrt((vectors ** 2).sum(axis=1)).max())])],
+                                      names=["size", "r"])
 
-    radius = points.select("vec").mapInArrow(longest, "r double").agg(F.max("r")).first()[0] or 1.0
+    radius = {r.size: r.r or 1.0 for r in points.select("vec").mapInArrow(longest, "size int, r double")
+              .groupBy("size").agg(F.max("r").alias("r")).collect()}       # a row per length
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                vectors = _vectors(batch.column(1).to_pylist())
+            for size, at, vectors in _by_size(batch.column(1)):
+                part = batch.take(pa.array(at))
                 for c in range(curves):
-                    yield pa.record_batch([pa.array(np.full(len(vectors), c, np.int32)), pa.array(curve_keys(vectors, radius, c)),
-                                           *batch.columns], names=["curve", "key", "point", "vec", "asked"])
+                    yield pa.record_batch([pa.array(np.full(len(at), size, np.int32)), pa.array(np.full(len(at), c, np.int32)),
+                                           pa.array(curve_keys(vectors, radius[size], c)), *part.columns],
+                                          names=["size", "curve", "key", "point", "vec", "asked"])
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(curves, np.int64)
+        seen = Counter()
         part = TaskContext.get().partitionId()
         for batch in batches:
-            curve = np.asarray(batch.column(0))
-            place = np.zeros(len(curve), np.int64)
-            for c in np.unique(curve):                              # rows are sorted by curve
-                at = np.flatnonzero(curve == c)
-                place[at] = seen[c] + np.arange(len(at))
-                seen[c] += len(at)
-            yield pa.record_batch([batch.column(0), pa.array(np.full(len(curve), part, np.int32)), pa.array(place),
-                                   *batch.columns[2:]], names=["curve", "part", "place", "point", "vec", "asked"])
-
-    rows = (points.select("point", "vec", "asked").mapInArrow(keyed, "curve int, key long, point long, vec binary, asked boolean")
-            .repartitionByRange("curve", "key", "point").sortWithinPartitions("curve", "key", "point")
-            .mapInArrow(numbered, "curve int, part int, place long, point long, vec binary, asked boolean"))
+            if not batch.num_rows:
+                continue
+            order = np.stack([np.asarray(batch.column(0)), np.asarray(batch.column(1))], axis=1)
+            edges = np.flatnonzero((order[1:] != order[:-1]).any(axis=1)) + 1          # rows are sorted by size and curve
+            place = np.zeros(len(order), np.int64)
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(order)]):
+                run = tuple(order[a].tolist())
+                place[a:b] = seen[run] + np.arange(b - a)
+                seen[run] += b - a
+            yield pa.record_batch([*batch.columns[:2], pa.array(np.full(len(order), part, np.int32)), pa.array(place),
+                                   *batch.columns[3:]], names=["size", "curve", "part", "place", "point", "vec", "asked"])
+
+    rows = (points.select("point", "vec", "asked").mapInArrow(keyed, "size int, curve int, key long, point long, vec binary, asked boolean")
+            .repartitionByRange("size", "curve", "key", "point").sortWithinPartitions("size", "curve", "key", "point")
+            .mapInArrow(numbered, "size int, curve int, part int, place long, point long, vec binary, asked boolean"))
     rows = stored(rows, "curves")
-    before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (rows.groupBy("curve", "part").agg(F.count("*").alias("n"))       # a row per curve and partition
-               .select("curve", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
-    return rows.join(offsets, ["curve", "part"]).select(
-        "curve", F.expr(f"cast((offset + place) div {block} as int)").alias("block"), "point", "vec", "asked")
+    before = Window.partitionBy("size", "curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy("size", "curve", "part").agg(F.count("*").alias("n"))       # a row per length, curve and partition
+               .select("size", "curve", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
+    return rows.join(offsets, ["size", "curve", "part"]).select(
+        "size", "curve", F.expr(f"cast((offset + place) div {block} as int)").alias("block"), "point", "vec", "asked")
 
 
 def sample_truth(points: DataFrame, k: int) -> tuple[DataFrame, int]:
-    """(asker, point): the exact k nearest points of at most SAMPLE query points, and the number of those."""
-    some = points.where("asked").orderBy(F.xxhash64("point"), "point").limit(SAMPLE).select("point", "vec").collect()
+    """(size, asker, point): the exact k nearest points of at most SAMPLE query points of each length, and the number of those."""
+    drawn = Window.partitionBy("size").orderBy(F.xxhash64("point"), "point")
+    some = (points.where("asked").select(_size().alias("size"), "point", "vec").withColumn("k", F.row_number().over(drawn))
+            .where(F.col("k") <= SAMPLE).collect())
     if not some:
-        return points.sparkSession.createDataFrame([], T.StructType().add("asker", "long").add("point", "long")), 0
-    ids, vectors = np.array([r.point for r in some]), _vectors([bytes(r.vec) for r in some])
+        return points.sparkSession.createDataFrame([], T.StructType().add("size", "integer").add("asker", "long").add("point", "long")), 0
+    asked = {size: (np.array([r.point for r in some if r.size == size]), _vectors([bytes(r.vec) for r in some if r.size == size]))
+             for size in {r.size for r in some}}
 
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                found = _nearest(vectors, ids, _vectors(batch.column(1).to_pylist()), np.asarray(batch.column(0)), k + 1)
-                yield pa.record_batch([pa.array(x) for x in found], names=["asker", "point", "score"])
+            for size, at, vectors in _by_size(batch.column(1)):
+                if size in asked:
+                    ids, queries = asked[size]
+                    found = _nearest(queries, ids, vectors, np.asarray(batch.column(0))[at], k + 1)
+                    yield pa.record_batch([pa.array(np.full(len(found[0]), size, np.int32)), *(pa.array(x) for x in found)],
+                                          names=["size", "asker", "point", "score"])
 
-    best = Window.partitionBy("asker").orderBy(F.desc("score"), "point")
-    found = points.select("point", "vec").mapInArrow(brute, "asker long, point long, score double").where("asker <> point")
-    return found.withColumn("k", F.row_number().over(best)).where(F.col("k") <= k).select("asker", "point"), len(some)
+    best = Window.partitionBy("size", "asker").orderBy(F.desc("score"), "point")
+    found = points.select("point", "vec").mapInArrow(brute, "size int, asker long, point long, score double").where("asker <> point")
+    return found.withColumn("k", F.row_number().over(best)).where(F.col("k") <= k).select("size", "asker", "point"), len(some)
 
 
-def calibrate(points: DataFrame, placed: DataFrame, k: int, recall: float) -> int:
-    """The smallest reach (blocks) that finds ``recall`` of the true neighbours of the sampled queries."""
+def calibrate(points: DataFrame, placed: DataFrame, k: int, recall: float) -> dict[int, int]:
+    """For each vector length, the smallest reach (blocks) that finds ``recall`` of the true neighbours of its sampled queries."""
     truth, n = sample_truth(points, k)
     if not n:
-        return 0
+        return {}
     truth = truth.checkpoint()
-    at = placed.select("curve", "block", "point")
-    gap = (truth.join(at.withColumnRenamed("point", "asker").withColumnRenamed("block", "from"), "asker")
-           .join(at, ["point", "curve"]).groupBy("asker", "point").agg(F.min(F.abs(F.col("block") - F.col("from"))).alias("gap")))
-    gaps = sorted(r.gap for r in gap.collect())                     # at most SAMPLE * k numbers
-    return int(gaps[max(0, int(np.ceil(recall * len(gaps))) - 1)]) if gaps else 0
+    at = placed.select("size", "curve", "block", "point")
+    gap = (truth.join(at.withColumnRenamed("point", "asker").withColumnRenamed("block", "from"), ["size", "asker"])
+           .join(at, ["size", "point", "curve"]).groupBy("size", "asker", "point")
+           .agg(F.min(F.abs(F.col("block") - F.col("from"))).alias("gap")))
+    gaps = defaultdict(list)
+    for r in gap.collect():                                         # at most SAMPLE * k numbers a length
+        gaps[r.size].append(r.gap)
+    return {size: int(sorted(g)[max(0, int(np.ceil(recall * len(g))) - 1)]) for size, g in gaps.items()}
 
 
 def measured_recall(df: DataFrame, found: DataFrame, k: int, queries: Column, *, id_col: str = "vec_id",

@@ -121,6 +121,25 @@ def test_fewer_candidates_and_empty(spark):
     assert ann.nearest(df.where("vec_id = 7"), 20, F.col("id") % 20 == 0).collect() == []
 
 
+def test_every_vector_length_is_searched_among_its_own_kind(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(120, 8))
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(base)]
+    rows += [(1000, [1e6] * 9), (2000, [1.0, 0.0]), (2001, [0.5, 0.5]), (2020, [0.0, 2.0])]      # one vector too long, three short ones
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = F.col("id") % 20 == 0
+    got = ann.nearest(df, 5, asked, block=16, curves=4).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        by.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert sorted(by) == [*range(0, 120, 20), 2000, 2020]           # 1000 has no vector of its length beside it
+    assert by[2000] == [(2001, 0.5), (2020, 0.0)] and by[2020] == [(2001, 1.0), (2000, 0.0)]
+    near = {q: exact(list(range(120)), base, q, 5) for q in range(0, 120, 20)}
+    assert all(len(by[q]) == 5 and all(i < 120 for i, _ in by[q]) for q in near)
+    assert sum(len({i for i, _ in by[q]} & set(near[q])) for q in near) >= 0.9 * 5 * len(near)
+    assert ann.measured_recall(df, spark.createDataFrame(got), 5, asked) >= 0.9
+
+
 def test_nearest_query(spark):
     found = queries.QUERIES["op7_nearest_neighbours"](spark, SF_MID).cache()
     df = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
