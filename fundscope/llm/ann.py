@@ -40,6 +40,7 @@ from fundscope.llm.storage import stored
 CURVES = 10
 DIMENSIONS, BITS = 4, 15
 BLOCK = 2048
+BUNDLE = 16                # blocks whose queries look at a block in one group
 RECALL = 0.95
 SAMPLE = 64                # queries that the reach is measured on
 SEED = 3
@@ -174,9 +175,9 @@ def nearest(df: DataFrame, k: int, queries: Column, *, id_col: str = "vec_id", v
         reach = max(reaches.values(), default=0)
     else:
         far = F.lit(reach)
-    rows = placed.select("size", "curve", "block", "point", "vec", F.lit(None).cast("double").alias("floor"), F.lit(False).alias("query"))
+    rows = placed.select("size", "curve", "block", F.lit(0).alias("bundle"), "point", "vec", F.lit(None).cast("double").alias("floor"), F.lit(False).alias("query"))
     own = placed.where("asked")
-    found = _searched(rows, own.withColumn("floor", F.lit(float("-inf"))), k)
+    found = _searched(rows, own.withColumn("floor", F.lit(float("-inf"))).withColumn("bundle", F.lit(0)), k)
     if reach:
         # what the own blocks found sets a floor: other blocks return only what is at least as near
         found = stored(found, "own_blocks")
@@ -185,7 +186,10 @@ def nearest(df: DataFrame, k: int, queries: Column, *, id_col: str = "vec_id", v
                   .select("size", F.col("asker").alias("point"), F.col("score").alias("floor")))
         away = F.filter(F.sequence(-far, far), lambda d: d != 0)
         looks = (own.join(floors, ["size", "point"], "left").fillna({"floor": float("-inf")})
-                 .withColumn("step", F.explode(away)).withColumn("block", F.col("block") + F.col("step")))
+                 .withColumn("step", F.explode(away)).withColumn("block", F.col("block") + F.col("step"))
+                 .withColumn("bundle", F.expr(f"cast(floor(step / {BUNDLE}) as int)")))
+        bundles = F.sequence(F.floor(-far / BUNDLE).cast("int"), F.floor(far / BUNDLE).cast("int"))
+        rows = rows.withColumn("bundle", F.explode(bundles))       # a group has at most BUNDLE blocks of queries
         found = found.unionByName(_searched(rows, looks, k)).groupBy("size", "asker", "point").agg(F.max("score").alias("score"))
     best = Window.partitionBy("size", "asker").orderBy(F.desc("score"), "point")
     found = found.withColumn("k", F.row_number().over(best)).where(F.col("k") <= k + 1).drop("k")
@@ -212,8 +216,8 @@ def _searched(rows: DataFrame, looks: DataFrame, k: int) -> DataFrame:
         keep = score >= q["floor"].to_numpy()[order[np.searchsorted(ids[order], asker)]]
         return pd.DataFrame({"size": np.full(int(keep.sum()), group["size"].iloc[0], np.int32), "asker": asker[keep], "point": point[keep], "score": score[keep]})
 
-    both = rows.unionByName(looks.select("size", "curve", "block", "point", "vec", "floor", F.lit(True).alias("query")))
-    return (both.groupBy("size", "curve", "block").applyInPandas(search, "size int, asker long, point long, score double")
+    both = rows.unionByName(looks.select("size", "curve", "block", "bundle", "point", "vec", "floor", F.lit(True).alias("query")))
+    return (both.groupBy("size", "curve", "block", "bundle").applyInPandas(search, "size int, asker long, point long, score double")
             .groupBy("size", "asker", "point").agg(F.max("score").alias("score")))
 
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
 from fundscope.llm import ann, decontaminate, queries
@@ -11,6 +12,17 @@ from tests.conftest import SF_MID, SF_SMALL
 from tests.llm import brute, cases
 
 
+class Most(AccumulatorParam):
+    def zero(self, value):
+        return 0
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
+MOST = Most()
+
+
 def bench(rows, rng):
     texts = [r[1] for r in rows if r[1]]
     cut = lambda t, a, b: " ".join(brute.WORD.findall(t)[a:b])
@@ -140,6 +152,25 @@ def test_every_vector_length_is_searched_among_its_own_kind(spark):
     assert ann.measured_recall(df, spark.createDataFrame(got), 5, asked) >= 0.9
 
 
+def test_groups_are_bounded_and_a_full_reach_is_exact(spark, monkeypatch):
+    sizes, plain = spark.sparkContext.accumulator(0, MOST), ann._nearest
+
+    def counted(queries, q_ids, points, p_ids, k):
+        sizes.add(len(queries))
+        return plain(queries, q_ids, points, p_ids, k)
+
+    monkeypatch.setattr(ann, "_nearest", counted)
+    monkeypatch.setattr(ann, "BUNDLE", 2)
+    base = np.random.default_rng(2).normal(size=(96, 6))
+    df = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(base)], "vec_id long, embedding array<double>")
+    got = ann.nearest(df, 4, F.lit(True), block=8, curves=1, reach=12).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    assert by == {q: exact(list(range(96)), base, q, 4) for q in range(96)}
+    assert 0 < sizes.value <= 2 * 8
+
+
 def test_nearest_query(spark):
     found = queries.QUERIES["op7_nearest_neighbours"](spark, SF_MID).cache()
     df = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
