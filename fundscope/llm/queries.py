@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import ann, decontaminate, line_dedup, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
+from fundscope.llm import ann, decontaminate, filter_audit, line_dedup, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -24,6 +24,13 @@ MIX_WEIGHTS = {
 }
 MIX_SHARE = 0.6            # of the corpus' tokens
 
+# The filters of the audit: a row fails where the condition holds; E is the filter against copies.
+AUDIT_FILTERS = {
+    "A": "n_words < 100", "B": "100 * n_distinct < 80 * n_words",
+    "C": "100 * n_capitals > 10 * n_code_points", "D": "n_symbols > 0",
+}
+AUDIT_LOST = {"good_lost": "quality = 1", "toxic_lost": "toxic = 1"}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -132,6 +139,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), AUDIT_FILTERS, repeats="E", part=F.col("lang"),
+                              marks=_table(spark, sf_dir, "labels"), lost=AUDIT_LOST)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -144,8 +156,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup_whole": op8_line_dedup_whole,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
+    "op13_filter_audit": op13_filter_audit,
 }
 
+
 def _mixing_sql() -> str:
     """The same budgets and cuts, level by level, without slices."""
     levels = ["domain", "lang", "source"]
@@ -213,4 +227,35 @@ def _line_dedup_sql(min_lines: int = 3, doublings: int = 20) -> str:
         from flat left join depths using (doc_id) group by doc_id"""
 
 
-ORACLE_SQL: dict[str, str] = {"op8_line_dedup": _line_dedup_sql(), "op9_mixing": _mixing_sql()}
+_AUDIT_SQL = r"""
+with marks as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+docs as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+rows as (select part, doc_id,
+           len(words) < 100 as a, 100 * len(list_distinct(words)) < 80 * len(words) as b,
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) as c,
+           regexp_matches(text, '[#$%&*|]') as d, doc_id > min(doc_id) over (partition by text) as e from docs),
+masks as (select part, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * coalesce(e, false)::int as mask,
+            coalesce(good, false) as good, coalesce(toxic, false) as toxic from rows left join marks using (doc_id)),
+cells as (select part, mask, good, toxic, count(*) as n from masks group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f, unnest([1, 2, 4, 8, 16]) as bit),
+orders as (select a.f || b.f || c.f || d.f || e.f as filter_order, a.bit as b1, b.bit as b2, c.bit as b3, d.bit as b4, e.bit as b5
+           from letters a join letters b on b.f <> a.f join letters c on c.f not in (a.f, b.f)
+           join letters d on d.f not in (a.f, b.f, c.f) join letters e on e.f not in (a.f, b.f, c.f, d.f)),
+steps as (select filter_order, unnest([1, 2, 3, 4, 5]) as step, unnest([b1, b2, b3, b4, b5]) as bit,
+            unnest([0, b1, b1 + b2, b1 + b2 + b3, b1 + b2 + b3 + b4]) as before from orders),
+found as (select part, filter_order, step, bit,
+    coalesce(sum(n) filter (mask & (before + bit) = 0), 0) as kept,
+    coalesce(sum(n) filter (mask & before = 0 and mask & bit <> 0), 0) as removed,
+    coalesce(sum(n) filter (mask & before <> 0 and mask & bit <> 0), 0) as redundant,
+    coalesce(sum(n) filter (mask = bit), 0) as unique_fails,
+    coalesce(sum(n) filter (mask & before = 0 and mask & bit <> 0 and good), 0) as good_lost,
+    coalesce(sum(n) filter (mask & before = 0 and mask & bit <> 0 and toxic), 0) as toxic_lost
+  from cells cross join steps group by all)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+       unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+       (sum(removed) over (partition by part, bit))::bigint as shapley
+from found"""
+
+
+ORACLE_SQL: dict[str, str] = {"op13_filter_audit": _AUDIT_SQL, "op8_line_dedup": _line_dedup_sql(), "op9_mixing": _mixing_sql()}
