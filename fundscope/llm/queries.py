@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import ann, decontaminate, filter_audit, line_dedup, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
+from fundscope.llm import ann, decontaminate, filter_audit, line_dedup, minhash, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -139,6 +139,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), AUDIT_FILTERS, repeats="E", part=F.col("lang"),
                               marks=_table(spark, sf_dir, "labels"), lost=AUDIT_LOST)
@@ -156,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup_whole": op8_line_dedup_whole,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
+    "op11_minhash": op11_minhash,
     "op13_filter_audit": op13_filter_audit,
 }
 
