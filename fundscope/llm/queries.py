@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundscope.llm import ann, decontaminate, filter_audit, line_dedup, minhash, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
+from fundscope.llm import ann, collocations, decontaminate, filter_audit, line_dedup, minhash, mixing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -144,6 +144,10 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), AUDIT_FILTERS, repeats="E", part=F.col("lang"),
                               marks=_table(spark, sf_dir, "labels"), lost=AUDIT_LOST)
@@ -162,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
     "op11_minhash": op11_minhash,
+    "op12_collocations": op12_collocations,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -264,4 +269,25 @@ select part, filter_order, step, kept::bigint as kept, removed::bigint as remove
 from found"""
 
 
-ORACLE_SQL: dict[str, str] = {"op13_filter_audit": _AUDIT_SQL, "op8_line_dedup": _line_dedup_sql(), "op9_mixing": _mixing_sql()}
+_COLLOCATIONS_SQL = r"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w)) as n from words group by lang),
+grams as (select lang, k, w[i : i + k - 1] as p from (
+      select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from (select lang, w, unnest([1, 2, 3, 4]) as k from words))),
+f as (select lang, k, p, count(*) as a from grams group by all having count(*) >= 30),
+inside as (select e.lang, e.p[i : i + j - 1] as p, max(e.a) as longer from (
+      select lang, p, a, j, unnest(range(1, k - j + 2)) as i from (select lang, k, p, a, unnest(range(2, k)) as j from f where k > 2)) e group by all),
+cuts as (select lang, p, a, k, unnest(range(1, k)) as c from f where k > 1),
+scored as (select x.lang, x.p, x.a, x.c, l.a as l, r.a as r, 2000000::hugeint * x.a // (l.a + r.a) as score from cuts x
+      join f l on l.lang = x.lang and l.p = x.p[1 : x.c] join f r on r.lang = x.lang and r.p = x.p[x.c + 1 : x.k]),
+best as (select * from scored qualify row_number() over (partition by lang, p order by score, c) = 1),
+named as (select b.lang, array_to_string(b.p, ' ') as phrase, b.a, b.l, b.r, b.score from best b
+      left join inside on inside.lang = b.lang and inside.p = b.p where not coalesce(100 * longer >= 80 * a, false)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from named)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000"""
+
+
+ORACLE_SQL: dict[str, str] = {"op12_collocations": _COLLOCATIONS_SQL, "op13_filter_audit": _AUDIT_SQL, "op8_line_dedup": _line_dedup_sql(), "op9_mixing": _mixing_sql()}
