@@ -14,16 +14,17 @@ collides in the prefix of both that leaves out the last ``MATCHES - 1`` tokens,
 so only prefixes are posted, and classes that share fewer than ``MATCHES``
 tokens with anything are not posted at all.  Inside a posting list classes are
 merged in the order of their set sizes, and a pair is skipped, uncounted, when
-its sizes rule a link out or its classes are joined already.  What reaches
-``MATCHES`` is confirmed on the full sets.
-
-A large group of near copies does not become all its pairs: before lists are
-merged, each class is held against one other only, the best connected class
-that it shares a list with.  (In a group of edited copies that is the text
-they were made from, or one near it.)  Confirmed links join classes into
-components, and a list whose classes are joined by then is dropped.  What is
-left is merged in full; lists longer than ``CHUNK`` in pairs of chunks, each a
-group of its own, so nothing is left out and no group grows with the list.
+its sizes rule a link out or its classes are joined already: a list gives a
+spanning forest of its pairs with ``MATCHES`` collisions, not all of them.
+
+Whatever is linked lies in one component of these forests, so the components
+are bundles that can be confirmed one by one: each set goes to its bundle, and
+there one merge of the inverted lists of all shingles counts how many shingles
+any two sets share -- exactly, without a comparison per pair.  Again a forest of
+the links comes out, and its components are the result.  Lists and bundles of
+more than ``CHUNK`` classes are dealt out as pairs of chunks, each a group of
+its own, so nothing is left out and no group grows with the list or bundle; the
+sets of a bundle of n classes are then sent n / CHUNK times.
 """
 
 from __future__ import annotations
@@ -33,19 +34,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundscope.llm.arrays import LOWER, NON_SPACE, U64, Sums, Words, _spread, chunks, heads, mix, ranges
+from fundscope.llm.arrays import LOWER, NON_SPACE, U64, Sums, Words, _spread, chunks, mix, ranges
 from fundscope.llm.graph import components
+from fundscope.llm.simhash import roots
 from fundscope.llm.storage import stored
 
 SHINGLE = 5
 PERCENT = 85
 COORDINATES = 64
 MATCHES = 36
-CHUNK = 2048
+CHUNK = 1024
 
 MULTIPLIERS = _spread(COORDINATES, 71) | U64(1)
 MASKS, MARKERS = _spread(COORDINATES, 72), _spread(COORDINATES, 73)
@@ -130,96 +133,148 @@ def full_sets(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 # ------------------------------------------------------------------ candidates
 
 def prefixes(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """``key``, ``n_shingles``, ``sketch`` (a byte per coordinate), ``weight`` (classes it shares tokens with, by token) and
-    ``prefix`` of the classes that share enough tokens to be linked with anything."""
+    """``key``, ``n_shingles``, ``sketch`` (a byte per coordinate) and ``prefix`` of the classes that share enough tokens to
+    be linked with anything."""
     entries = classes.select("key", F.explode("tokens").alias("token"))
     shared = stored(entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "shared_tokens")
     ranked = (entries.join(shared, "token").groupBy("key")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"), F.sum("df").alias("weight"))
+              .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
               .where(F.size("ranked") >= matches))
     prefix = F.slice("ranked", F.lit(1), F.size("ranked") - (matches - 1))
     sketch = F.unhex(F.array_join(F.transform("tokens", lambda t: F.lpad(F.hex(t.bitwiseAND(0xFF)), 2, "0")), ""))
-    return (ranked.select("key", "weight", F.transform(prefix, lambda x: x["token"]).alias("prefix"))
+    return (ranked.select("key", F.transform(prefix, lambda x: x["token"]).alias("prefix"))
             .join(classes.select("key", "n_shingles", sketch.alias("sketch")), "key"))
 
 
-def best_connected(posted: DataFrame) -> DataFrame:
-    """(a, b): each class b with the class a of largest weight among all that it shares a list with."""
-    lists = posted.select("key", "weight", F.explode("prefix").alias("token"))
-    lead = stored(lists.groupBy("token").agg(F.max(F.struct("weight", "key")).alias("lead"), F.count("*").alias("n"))
-                  .where("n > 1").select("token", "lead"), "leads")
-    found = lists.join(lead, "token").groupBy(F.col("key").alias("b")).agg(F.max("lead").alias("lead"))
-    return found.select(F.col("lead.key").alias("a"), "b").where("a <> b")
-
-
-def _joint(ordered: np.ndarray, keys: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches: np.ndarray,
-           matches: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs inside groups (rows ascend by group and size) of different roots that collide in enough coordinates."""
-    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    live, d = np.arange(len(ordered)), 1
+def in_chunks(members: DataFrame, group: str) -> DataFrame:
+    """Members of groups of two or more, dealt out for all pairs: ``c1`` <= ``c2`` name a pair of chunks, ``mine`` is the row's own."""
+    sizes = stored(members.groupBy(group).agg(F.count("*").alias("n")).where("n > 1")
+                   .select(group, F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "group_sizes")
+    dealt = members.join(sizes, group).withColumn("mine", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return other.withColumns({"c1": F.least("mine", "other"), "c2": F.greatest("mine", "other")}).drop("parts", "other")
+
+
+def _fixed(column: pa.Array, kind, width: int) -> np.ndarray:
+    """A column of binary values of one size as rows of ``width`` numbers."""
+    column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0]: ends[-1]].view(kind).reshape(-1, width)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """(number of the group of each row, rows): batches of whole groups, by their first ``columns``; rows are sorted by these."""
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None and not len(batch):
+            continue
+        if batch is not None:
+            rest = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        if rest is None:
+            return
+        new = np.ones(len(rest), bool)
+        new[1:] = False
+        for k in range(columns):
+            new[1:] |= pc.not_equal(rest.column(k)[1:], rest.column(k)[:-1]).to_numpy(zero_copy_only=False)
+        cut = len(new) if batch is None else int(np.flatnonzero(new)[-1])       # the last group may go on
+        if cut:
+            yield np.cumsum(new[:cut]), rest.slice(0, cut)
+        rest = rest.slice(cut)
+
+
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    root = roots(n, a, b)
+    other = np.flatnonzero(root != np.arange(n))
+    return root[other], other
+
+
+def colliding(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, matches: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs inside groups (rows ascend by group and size) that collide in enough coordinates."""
+    n = len(group)
+    a = b = np.zeros(0, np.int64)
+    root, live, d = np.arange(n), np.arange(n), 1
     while True:
-        live = live[live + d < len(ordered)]
-        live = live[(ordered[live] == ordered[live + d]) & (100 * sizes[live] >= percent * sizes[live + d])]   # skipped from here on
+        live = live[live + d < n]
+        live = live[(group[live] == group[live + d]) & (100 * sizes[live] >= percent * sizes[live + d])]   # skipped from here on
         if not len(live):
-            return np.concatenate(out_a), np.concatenate(out_b)
-        apart = live[(roots[live] != roots[live + d]).any(axis=1)]
-        for part in np.array_split(apart, max(1, len(apart) >> 14)):
-            hits = part[(sketches[part] == sketches[part + d]).sum(axis=1) >= matches]
-            out_a.append(hits)
-            out_b.append(hits + d)
+            return a, b
+        apart = live[root[live] != root[live + d]]
+        hits = [part[(sketches[part] == sketches[part + d]).sum(axis=1) >= matches]
+                for part in np.array_split(apart, max(1, len(apart) >> 14))]
+        if sum(map(len, hits)):
+            hit = np.concatenate(hits)
+            a, b = _forest(np.concatenate([a, hit]), np.concatenate([b, hit + d]), n)
+            root[b] = a
         d += 1
 
 
-def merged(posted: DataFrame, joined: DataFrame, matches: int = MATCHES, percent: int = PERCENT) -> DataFrame:
-    """(a, b): pairs of classes of different components (``joined``: node, root) with at least ``matches`` collisions."""
-    labelled = (posted.join(joined, posted["key"] == joined["node"], "left")
-                .select("key", F.coalesce("root", "key").alias("root"), "n_shingles", "sketch", "prefix"))
-    lists = stored(labelled, "labelled").select("key", "root", "n_shingles", "sketch", F.explode("prefix").alias("token"))
-    mixed = stored(lists.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-                   .where("low <> high").select("token", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "mixed_lists")
-    chunk = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
-    dealt = (lists.join(mixed, "token")
-             .select("token", "key", "root", "n_shingles", "sketch", chunk.alias("mine"),
-                     F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-             .select("token", F.least("mine", "other").alias("c1"), F.greatest("mine", "other").alias("c2"),
-                     F.col("n_shingles").alias("n"), "key", "root", "sketch"))
-
-    def fixed(column: pa.Array, kind, width: int) -> np.ndarray:
-        _, offsets, data = column.buffers()
-        ends = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1]
-        return np.frombuffer(data, np.uint8)[ends[0]: ends[-1]].view(kind).reshape(-1, width)
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in itertools.chain(batches, [None]):
-            if batch is not None:
-                if not len(batch):
-                    continue
-                group = np.stack([np.asarray(batch.column(k)).astype(np.int64) for k in range(4)], axis=1)
-                now = (group, *(fixed(batch.column(k).cast(pa.binary()), kind, width) for k, kind, width in ((4, U64, 2), (5, U64, 2), (6, np.uint8, COORDINATES))))
-                rest = now if rest is None else tuple(np.concatenate(x) for x in zip(rest, now))
-            if rest is None:
-                continue
-            new = np.append(True, (np.diff(rest[0][:, :3], axis=0) != 0).any(axis=1))
-            cut = len(new) if batch is None else int(np.flatnonzero(new)[-1])       # the last group may go on
-            group, key, root, sketch = (x[:cut] for x in rest)
-            rest = tuple(x[cut:] for x in rest)
-            a, b = _joint(np.cumsum(new[:cut]), key, root, group[:, 3], sketch, matches, percent)
-            if len(a):
-                yield pa.record_batch([_binary(key[a]), _binary(key[b])], names=["a", "b"])
-
-    pairs = (dealt.repartition("token", "c1", "c2").sortWithinPartitions("token", "c1", "c2", "n")
-             .mapInArrow(linked, "a binary, b binary"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
-    mine = sets.select(F.col("key").alias("b"), F.col("shingles").alias("set_b"))
-    theirs = sets.select(F.col("key").alias("a"), F.col("shingles").alias("set_a"))
-    both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    return (pairs.join(mine, "b").join(theirs, "a")
-            .where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
+def candidates(posted: DataFrame, matches: int = MATCHES, percent: int = PERCENT) -> DataFrame:
+    """(a, b): pairs of classes that join all pairs with at least ``matches`` collisions."""
+    lists = posted.select(F.explode("prefix").alias("token"), "key", "n_shingles", "sketch")
+    dealt = in_chunks(lists, "token").select("token", "c1", "c2", "n_shingles", "key", "sketch")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows in whole_groups(batches, 3):
+            key = _fixed(rows.column(4), U64, 2)
+            a, b = colliding(group, np.asarray(rows.column(3)), _fixed(rows.column(5), np.uint8, COORDINATES), matches, percent)
+            yield pa.record_batch([_binary(key[a]), _binary(key[b])], names=["a", "b"])
+
+    return (dealt.repartition("token", "c1", "c2").sortWithinPartitions("token", "c1", "c2", "n_shingles")
+            .mapInArrow(merge, "a binary, b binary").distinct())
+
+
+# ------------------------------------------------------------------ confirmation
+
+def similar(group: np.ndarray, chunk: np.ndarray, bounds: np.ndarray, shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs inside groups whose sets (sorted, end to end) reach the similarity.
+
+    The shingles of a row meet those of the later rows of its group in inverted
+    lists; a row adds up its lists once, which gives what it shares with each.
+    In a group of two chunks only pairs across them count.
+    """
+    n, size = len(group), np.diff(bounds)
+    owner = np.repeat(np.arange(n), size)
+    _, name = np.unique(shingles ^ mix(group.astype(U64))[owner], return_inverse=True)
+    order = np.argsort(name, kind="stable")
+    held = owner[order]                                       # rows of each shingle, ascending
+    start = np.searchsorted(name[order], np.arange(name.max(initial=-1) + 2))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))                      # where a posting stands in its list
+    last = np.searchsorted(group, group, "right")
+    first = np.searchsorted(group, group, "left")
+    mixed = np.array([len(np.unique(chunk[f:t])) > 1 for f, t in zip(first[first == np.arange(n)], last[first == np.arange(n)])], bool)
+    mixed = np.repeat(mixed, np.diff(np.append(np.flatnonzero(first == np.arange(n)), n)))
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a in range(n):
+        if last[a] - a < 2:
+            continue
+        mine = slice(bounds[a], bounds[a + 1])
+        later = start[name[mine] + 1] - place[mine] - 1
+        shared = np.bincount(held[ranges(place[mine] + 1, later)] - a, minlength=last[a] - a)[1:]
+        near = 100 * shared >= percent * (size[a] + size[a + 1: last[a]] - shared)
+        if mixed[a]:
+            near &= chunk[a + 1: last[a]] != chunk[a]
+        hits = np.flatnonzero(near) + a + 1
+        out_a.append(np.full(len(hits), a))
+        out_b.append(hits)
+    return _forest(np.concatenate(out_a), np.concatenate(out_b), n)
+
+
+def links(bundles: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): pairs of classes that join all pairs of one bundle (``key``, ``bundle``) with similar sets (``key``, ``shingles``)."""
+    dealt = in_chunks(bundles, "bundle").join(sets, "key").select("bundle", "c1", "c2", "mine", "key", "shingles")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, rows in whole_groups(batches, 3):
+            key, listed = _fixed(rows.column(4), U64, 2), rows.column(5)
+            bounds = np.asarray(listed.offsets).astype(np.int64)
+            shingles = np.asarray(listed.values)[bounds[0]: bounds[-1]].view(U64)
+            a, b = similar(group, np.asarray(rows.column(3)), bounds - bounds[0], shingles, percent)
+            yield pa.record_batch([_binary(key[a]), _binary(key[b])], names=["a", "b"])
+
+    return (dealt.repartition("bundle", "c1", "c2").sortWithinPartitions("bundle", "c1", "c2")
+            .mapInArrow(confirm, "a binary, b binary").distinct())
 
 
 # ------------------------------------------------------------------ operator
@@ -241,14 +296,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                           F.any_value("n_shingles").alias("n_shingles"), F.any_value("tokens").alias("tokens")), "classes")
     posted = stored(prefixes(classes, matches), "posted")
 
-    wanted = posted.select("key").join(classes.select("key", "one"), "key").select("key", "one.row_id", "one.mark")
+    bundles = stored(components(candidates(posted, matches, percent)).select(F.col("node").alias("key"), F.col("root").alias("bundle")), "bundles")
+
+    wanted = bundles.select("key").join(classes.select("key", "one"), "key").select("key", "one.row_id", "one.mark")
     texts = docs.select(F.col(id_col).alias("id"), _row_hash(text_col).alias("text_mark"), F.col(text_col).alias("text"))
     same = F.col("id").eqNullSafe(F.col("row_id")) & (F.col("text_mark") == F.col("mark"))
-    sets = stored(full_sets(texts.join(wanted, same).select("key", "text").dropDuplicates(["key"]), shingle), "sets")
-
-    near = stored(confirmed(best_connected(posted), sets, percent), "near_links")
-    far = stored(confirmed(merged(posted, components(near), matches, percent), sets, percent), "far_links")
-    joined = components(near.unionByName(far)).select(F.col("node").alias("key"), "root")
+    sets = full_sets(texts.join(wanted, same).select("key", "text").dropDuplicates(["key"]), shingle)
+    joined = components(links(bundles, sets, percent)).select(F.col("node").alias("key"), "root")
 
     owner = classes.select("key", "least_id").join(joined, "key", "left").select("key", F.coalesce("root", "key").alias("root"), "least_id")
     named = owner.groupBy("root").agg(F.min("least_id").alias("component_id"))

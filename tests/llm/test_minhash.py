@@ -82,22 +82,36 @@ def test_near_duplicates(spark, monkeypatch, chunk):
     assert max(sizes) > 55 and sizes.count(1) > 60
 
 
-def test_every_list_alone_finds_what_the_first_links_miss(spark):
-    """Without the links to the best connected class, the merge of the lists gives the same components."""
+@pytest.mark.parametrize("chunk", [minhash.CHUNK, 5])
+def test_candidates_and_links_join_what_is_similar(spark, monkeypatch, chunk):
+    monkeypatch.setattr(minhash, "CHUNK", chunk)
     texts = list(enumerate(families(random.Random(9))))
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     signed = minhash.signed(docs)
     classes = signed.where("n_shingles > 0").groupBy("key", "n_shingles", "tokens").agg({"row_id": "min"})
-    posted = minhash.prefixes(classes)
-    none = spark.createDataFrame([], "node binary, root binary")
-    names = {bytes(r.key): d for r in signed.collect() for d in [r.row_id] if r.key}
-    pairs = {tuple(sorted((names[bytes(r.a)], names[bytes(r.b)]))) for r in minhash.merged(posted, none).collect()}
-    sets = {d: shingles(t) for d, t in texts}
-    for a in sets:
-        for b in sets:
-            if a < b and sets[a] != sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
-                key_a, key_b = (names[next(k for k, v in names.items() if sets[v] == sets[d])] for d in (a, b))
-                assert tuple(sorted((key_a, key_b))) in pairs
+    names = {bytes(r.key): r["min(row_id)"] for r in classes.collect()}
+    pairs = [(names[bytes(r.a)], names[bytes(r.b)]) for r in minhash.candidates(minhash.prefixes(classes)).collect()]
+    assert len(pairs) < 40 * len(texts)                     # forests, not all pairs
+    sets = {d: shingles(t) for d, t in texts if d in names.values()}
+    parent = {d: d for d in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    similar = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert similar and all(root(a) == root(b) for a, b in similar)
+
+    found = docs.sparkSession.createDataFrame([(bytearray(k), bytearray(b"x")) for k in names], "key binary, bundle binary")
+    listed = minhash.full_sets(docs.join(signed.select("row_id", "key"), docs["doc_id"] == signed["row_id"]).where("key is not null")
+                               .select("key", "text").dropDuplicates(["key"]))
+    for r in minhash.links(found, listed).collect():         # of all classes as one bundle
+        a, b = sorted((names[bytes(r.a)], names[bytes(r.b)]))
+        similar_root = components([(d, t) for d, t in texts if d in names.values()])
+        assert similar_root[a][1] == similar_root[b][1]
 
 
 def test_signatures_estimate_similarity():
