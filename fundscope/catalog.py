@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundscope.functions import columns as fc
 from fundscope.operators import cleaning as cl
 from fundscope.operators import encode as en
 from fundscope.operators import evaluate as ev
+from fundscope.operators import folds as fo
+from fundscope.operators import linear as ln
 from fundscope.operators import model as md
 from fundscope.operators import profile as pr
 from fundscope.operators import text as tx
@@ -24,7 +26,8 @@ from fundscope.plans import prepare as pp
 from fundscope.plans import train as tr
 from fundscope.session import scratch_path
 from fundscope.sources import fixtures as fx
-from fundscope.sources import readers, sinks
+from fundscope.sources import readers, searches, sinks
+from fundscope.sources.schemas import RAW_CAMPAIGN_SCHEMA
 from fundscope.streaming import incremental as inc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +62,16 @@ def q_csv_scan(spark, sf):
     return readers.read_csv(spark, path)
 
 
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf):
+    """Scan with the declared schema: good rows by number and side, malformed lines with their file and text."""
+    path = scratch_path(spark, "campaigns_csv_dirty")
+    sinks.write_text(fx.dirty_campaign_lines(spark, sf), path, "value")
+    good, bad = readers.read_csv_quarantined(spark, path, RAW_CAMPAIGN_SCHEMA, scratch_path(spark, "scanned"))
+    return (good.select(F.lit("good").alias("side"), F.coalesce("project_id", F.lit("")).alias("line"))
+            .unionByName(bad.select(F.lit("bad").alias("side"), F.col("line"))).groupBy("side", "line").agg(F.count("*").alias("n")))
+
+
 @query("csv_scan_headerless")
 def q_csv_scan_headerless(spark, sf):
     return readers.read_csv_headerless(spark, _cleaned_lines_path(spark, sf))
@@ -337,6 +350,7 @@ TEXT_MIN_DF = 5.0
 CAPPED_VOCAB_SIZE = 50
 LABELLED_MIN_DFS = (5.0, 10.0, 20.0)
 FIT_REG_PARAM = 1e-4
+SEARCH_FOLDS = 3
 
 
 def _documents(spark, sf):
@@ -381,7 +395,7 @@ def q_count_vectorize(spark, sf):
 def q_count_vectorize_capped(spark, sf):
     docs = _filtered_docs(spark, sf)
     tf = tx.term_frequencies(docs)
-    vocab = tx.vocabulary(tf, docs, 1.0, vocab_size=CAPPED_VOCAB_SIZE)
+    vocab = tx.capped_vocabulary(docs, CAPPED_VOCAB_SIZE)
     return tx.restrict_to_vocabulary(tf, vocab).select("doc_id", "term", F.col("tf").alias("count"))
 
 
@@ -427,7 +441,7 @@ def q_string_index_keep(spark, sf):
 @query("one_hot")
 def q_one_hot(spark, sf):
     docs = readers.read_table(spark, sf, "documents").select("doc_id", "source")
-    indexed = en.index_strings(docs, "source", "source_index", "error")
+    indexed = en.string_indexer_stage("source", "source_index", "error").fit(docs).transform(docs)
     encoder = en.one_hot_stage("source_index", "source_vec").fit(indexed)
     n_slots = encoder.categorySizes[0] - 1
     return encoder.transform(indexed).select("doc_id", "source", F.lit(n_slots).alias("n_slots"),
@@ -479,16 +493,55 @@ def q_confusion_matrix(spark, sf):
 
 # ---------------------------------------------------------------- fit, search, persistence
 
-def _scores(scored):
-    return scored.select("doc_id", ev.LABEL_COL, ev.PREDICTION_COL,
-                         F.round(tr.probability_of_one(), 6).alias("p1"))
+# A fitted model's largest gradient entry (by a standardised weight) at which it counts as optimal, and the largest
+# difference between a relational score and the model's own.
+OPTIMAL_RESIDUAL = 1e-5
+SCORE_DIFFERENCE = 1e-6
+
+_FITTED: dict = {}
+
+
+def _fitted(spark, sf, rows: DataFrame, which: str, **options):
+    """The pipeline fitted on ``rows``, once a session for the same table, rows (named ``which``) and options."""
+    key = (spark.sparkContext.applicationId, sf, which, tuple(sorted(options.items())))
+    if key not in _FITTED:
+        _FITTED[key] = tr.fit_pipeline(rows, TEXT_MIN_DF, FIT_REG_PARAM, **options)
+    return _FITTED[key]
+
+
+def _split_fit(spark, sf, **options):
+    train, test = md.split(fx.labelled_docs(spark, sf))
+    return _fitted(spark, sf, train, "train", **options), test
+
+
+def _compared(spark, model, docs: DataFrame, scored: DataFrame) -> DataFrame:
+    """What the relational score of ``model`` says of ``docs``, beside ``scored`` (doc_id, p1, predictions) of the model itself.
+
+    doc_id, final_status, ``n_terms`` (vocabulary terms in the document),
+    ``score_agrees`` and ``class_agrees``.
+    """
+    linear = ln.from_pipeline(spark, model)
+    tokens = md.pretokenize(docs)
+    terms = linear.table.where("kind = 'term'").select(F.col("value").alias("term"))
+    n_terms = (tx.salted_join(tx.term_frequencies(tokens), terms).groupBy("doc_id").agg(F.count("*").alias("n_terms")))
+    theirs = scored.select("doc_id", F.col("p1").alias("_p1"), F.col(ev.PREDICTION_COL).alias("_class"))
+    return (ln.scored(tokens, linear).join(theirs, "doc_id").join(n_terms, "doc_id", "left").fillna(0, ["n_terms"])
+            .select("doc_id", ev.LABEL_COL, "n_terms", (F.abs(F.col("p1") - F.col("_p1")) < SCORE_DIFFERENCE).alias("score_agrees"),
+                    (F.col(ev.PREDICTION_COL) == F.col("_class")).alias("class_agrees")))
+
+
+def _own_scores(scored: DataFrame) -> DataFrame:
+    return scored.select("doc_id", tr.probability_of_one().alias("p1"), ev.PREDICTION_COL)
 
 
 @query("logistic_fit")
 def q_logistic_fit(spark, sf):
+    """Each coefficient's feature in the training rows, and that the fit is optimal there."""
     docs = fx.labelled_docs(spark, sf)
-    model = tr.fit_pipeline(docs, TEXT_MIN_DF, FIT_REG_PARAM)
-    return _scores(model.transform(docs))
+    model = _fitted(spark, sf, docs, "all")
+    found = ln.residuals(md.pretokenize(docs), ln.from_pipeline(spark, model))
+    return found.select("kind", F.coalesce("name", F.lit("")).alias("name"), "n_rows", _round("x_sum", 4), _round("x_std", 4),
+                        (F.col("residual") < OPTIMAL_RESIDUAL).alias("optimal"))
 
 
 @query("split_seeded")
@@ -501,16 +554,14 @@ def q_split_seeded(spark, sf):
 @query("pipeline_predict_tf_onehot")
 def q_pipeline_predict_tf_onehot(spark, sf):
     """Term counts without IDF, both indices one-hot, ``days_campaign`` first."""
-    train, test = md.split(fx.labelled_docs(spark, sf))
-    model = tr.fit_pipeline(train, TEXT_MIN_DF, FIT_REG_PARAM, use_idf=False, one_hot=True, text_first=False)
-    return _scores(model.transform(test))
+    model, test = _split_fit(spark, sf, use_idf=False, one_hot=True, text_first=False)
+    return _compared(spark, model, test, _own_scores(model.transform(test)))
 
 
 @query("pipeline_predict")
 def q_pipeline_predict(spark, sf):
-    train, test = md.split(fx.labelled_docs(spark, sf))
-    model = tr.fit_pipeline(train, TEXT_MIN_DF, FIT_REG_PARAM)
-    return _scores(model.transform(test))
+    model, test = _split_fit(spark, sf)
+    return _compared(spark, model, test, _own_scores(model.transform(test)))
 
 
 def _grid_vocabulary(spark, sf, reg_params, min_dfs):
@@ -536,47 +587,104 @@ def q_param_grid_large(spark, sf):
     return _grid_vocabulary(spark, sf, md.LARGE_GRID_REG, md.LARGE_GRID_MIN_DF)
 
 
+def _searched(spark, sf, num_folds=None):
+    key = (spark.sparkContext.applicationId, sf, "search", num_folds)
+    if key not in _FITTED:
+        _FITTED[key] = tr.train(spark, fx.labelled_docs(spark, sf), min_dfs=LABELLED_MIN_DFS, num_folds=num_folds)
+    return _FITTED[key]
+
+
 @query("grid_search")
 def q_grid_search(spark, sf):
-    res = tr.train(spark, fx.labelled_docs(spark, sf), min_dfs=LABELLED_MIN_DFS)
-    return res.grid.withColumnRenamed("metric", "f1")
+    return _searched(spark, sf).grid.withColumnRenamed("metric", "f1")
+
+
+def held_out_f1(spark, sf) -> float:
+    """Weighted F1 of the search's winner on the held-out rows."""
+    return float(ev.weighted_f1(_searched(spark, sf).scored).first()["f1"])
+
+
+@query("grid_results")
+def q_grid_results(spark, sf):
+    """The candidates of a saved search, read back from its files, with what the live search said of them."""
+    found = _searched(spark, sf)
+    path = scratch_path(spark, "search")
+    sinks.save_model(found.search, path)
+    saved = searches.read_search(spark, path)
+    live = found.grid.withColumnRenamed("metric", "live")
+    value = lambda name: F.col("params")[name].cast("double")
+    rows = saved.join(live.select("candidate", "live", F.max("live").over(Window.partitionBy()).alias("best")), "candidate")
+    return rows.select(
+        F.col("candidate").cast("int").alias("candidate"), value("regParam").alias("reg_param"), value("minDF").alias("min_df"),
+        (F.abs(F.col("metric") - F.col("live")) < 1e-12).alias("metric_kept"), F.col("metric").between(0, 1).alias("metric_in_range"),
+        (~F.col("is_best") | (F.col("live") == F.col("best"))).alias("best_is_largest"))
 
 
 @query("best_params")
 def q_best_params(spark, sf):
-    res = tr.train(spark, fx.labelled_docs(spark, sf), min_dfs=LABELLED_MIN_DFS)
-    best = md.best_params(res.search.bestModel)
-    f1_test = ev.weighted_f1(res.scored).first()["f1"]
-    return spark.createDataFrame(
-        [(best["min_df"], best["reg_param"], float(f1_test))],
-        "min_df double, reg_param double, test_f1 double")
+    """Each candidate beside the winner: that it scores no better, and that the winner's fitted stages hold the winner's parameters."""
+    found = _searched(spark, sf)
+    best = md.best_params(found.search.bestModel)
+    top = F.max_by(F.struct("reg_param", "min_df", "metric"), F.struct("metric", -F.col("candidate"))).over(Window.partitionBy())
+    rows = found.grid.withColumn("top", top)
+    return rows.select("candidate", "reg_param", "min_df", (F.col("metric") <= F.col("top.metric")).alias("no_better"),
+                       ((F.col("top.min_df") == best["min_df"]) & (F.col("top.reg_param") == best["reg_param"])).alias("stages_hold_winner"))
 
 
 @query("cross_validate")
 def q_cross_validate(spark, sf):
-    res = tr.train(spark, fx.labelled_docs(spark, sf), min_dfs=LABELLED_MIN_DFS, num_folds=3)
-    return res.grid.withColumnRenamed("metric", "f1")
+    return _searched(spark, sf, 3).grid.withColumnRenamed("metric", "f1")
+
+
+def _training_folds(spark, sf):
+    """Training rows and their fold, as the cross-validation has them."""
+    train, _ = md.split(fx.labelled_docs(spark, sf))
+    return train, md.split_part([1] * SEARCH_FOLDS, f"{md.SPLIT_SEED}:fold", "doc_id")
+
+
+@query("fold_vocabulary")
+def q_fold_vocabulary(spark, sf):
+    """Vocabulary and IDF weights of each fold's training rows, for each minDF."""
+    train, part = _training_folds(spark, sf)
+    tf = tx.term_frequencies(tx.remove_stop_words(tx.tokenize(train)))
+    sizes = fo.row_counts(train, part, SEARCH_FOLDS)
+    found = fo.fold_vocabularies(fo.term_statistics(tf, part, SEARCH_FOLDS), sizes, LABELLED_MIN_DFS)
+    return found.select("fold", "min_df", "term", "doc_freq", "term_count", _round("idf"))
+
+
+@query("fold_labels")
+def q_fold_labels(spark, sf):
+    """Category indices of each fold's training rows."""
+    train, part = _training_folds(spark, sf)
+    found = [fo.label_indices(fo.label_statistics(train, c, part, SEARCH_FOLDS)).select("fold", F.lit(c).alias("column"), "value", "index")
+             for c in ("country2", "currency2")]
+    return found[0].unionByName(found[1])
 
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf):
+    """The published version, loaded again, scores as the model does."""
     from pyspark.ml import PipelineModel
-    train, test = md.split(fx.labelled_docs(spark, sf))
-    model = tr.fit_pipeline(train, TEXT_MIN_DF, FIT_REG_PARAM)
-    path = scratch_path(spark, "pipeline_model")
-    sinks.save_model(model, path)
-    return _scores(PipelineModel.load(path).transform(test))
+    model, test = _split_fit(spark, sf)
+    root = scratch_path(spark, "pipeline_model")
+    sinks.publish_model(model, root)
+    again = PipelineModel.load(sinks.latest_model_path(spark, root))
+    return _compared(spark, model, test, _own_scores(again.transform(test)))
 
 
 @query("predictions_sink")
 def q_predictions_sink(spark, sf):
-    train, test = md.split(fx.labelled_docs(spark, sf))
-    model = tr.fit_pipeline(train, TEXT_MIN_DF, FIT_REG_PARAM)
-    scored = model.transform(test)
+    """The written predictions, read back: sizes of the vectors, and that the scores are the model's."""
+    from pyspark.ml.functions import vector_to_array
+    model, test = _split_fit(spark, sf)
     path = scratch_path(spark, "predictions")
-    sinks.write_predictions(scored, path, ("doc_id", "features", ev.LABEL_COL,
-                                           ev.PREDICTION_COL, ev.RAW_PREDICTION_COL))
-    return readers.read_parquet(spark, path)
+    sinks.write_predictions(model.transform(test), path, ("doc_id", "features", ev.LABEL_COL,
+                                                          ev.PREDICTION_COL, ev.RAW_PREDICTION_COL))
+    written = readers.read_parquet(spark, path)
+    p1 = 1 / (1 + F.exp(-vector_to_array(ev.RAW_PREDICTION_COL)[1]))
+    sizes = written.select("doc_id", F.unwrap_udt("features")["size"].alias("_size"), F.size(vector_to_array("features")).alias("_length"))
+    compared = _compared(spark, model, test, written.select("doc_id", p1.alias("p1"), ev.PREDICTION_COL))
+    return compared.join(sizes.select("doc_id", F.coalesce("_size", "_length").alias("n_features")), "doc_id")
 
 
 # ---------------------------------------------------------------- incremental (Structured Streaming)

@@ -3,10 +3,10 @@
 Two forms of the same semantics:
 
 * DataFrame jobs (``tokenize`` ... ``tf_idf``) that produce tables in long
-  form -- one row per (document, term).  A document's terms are counted inside
-  its own row (sorted tokens, runs), so the (document, term) pairs are made
-  without a shuffle; the vocabulary is one aggregation by term, pre-aggregated
-  per task.  In the joins with the vocabulary the postings of a term are dealt
+  form -- one row per (document, term).  Postings and vocabulary are hash
+  aggregations, pre-aggregated per task, in generated code (counting a sorted
+  array with lambdas needs no shuffle but runs interpreted, several times
+  slower).  In the joins with the vocabulary the postings of a term are dealt
   over ``SALTS`` reducers and the vocabulary is repeated for each, so a term
   of every document is no hot key.
 * ``pyspark.ml`` stages (``*_stage``) for pipelines that need vectors.
@@ -28,6 +28,7 @@ from fundscope.functions.columns import TOKEN_GAP_PATTERN, drop_stop_words, rege
 from fundscope.functions.stopwords import default_stop_words
 
 DEFAULT_VOCAB_SIZE = 1 << 18        # CountVectorizer default
+COUNTERS = 1 << 14                  # of the frequent-items sketch
 SALTS = 16                          # reducers that share a term's postings
 
 
@@ -52,22 +53,14 @@ def explode_positions(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
               .filter(F.col("token").isNotNull()))
 
 
-def term_counts(sorted_col: str) -> F.Column:
-    """array<struct<term, tf>> of a sorted token array: its runs and their lengths."""
-    token = lambda i: F.get(F.col(sorted_col), i)
-    n = F.size(sorted_col)
-    heads = F.filter(F.sequence(F.lit(0), n), lambda i: (i == 0) | (i == n) | (token(i) != token(i - 1)))
-    runs = F.zip_with(F.slice(heads, 1, F.size(heads) - 1), F.slice(heads, 2, F.size(heads) - 1),
-                      lambda i, j: F.struct(token(i).alias("term"), (j - i).cast("bigint").alias("tf")))
-    return F.when(n > 0, runs)
-
-
 def term_frequencies(df: DataFrame, id_col: str = "doc_id", tokens_col: str = "filtered") -> DataFrame:
-    """(id, term, tf): count of each term in each row; ids are unique, so nothing is shuffled."""
-    # The sorted array is a column of its own: an expression inside a lambda runs again for every element.
-    ordered = df.select(id_col, F.array_sort(F.filter(tokens_col, lambda t: t.isNotNull())).alias("_sorted"))
-    return (ordered.select(id_col, F.explode_outer(term_counts("_sorted")).alias("_t"))
-                   .select(id_col, "_t.term", "_t.tf").filter(F.col("term").isNotNull()))
+    """(id, term, tf): count of each term in each row; ids are unique.
+
+    Counted by (id, term), summed up in each task before the shuffle: a row's
+    tokens come from one task, so every pair is shuffled once.
+    """
+    tokens = df.select(id_col, F.explode_outer(tokens_col).alias("term")).filter(F.col("term").isNotNull())
+    return tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _min_df_threshold(docs: DataFrame, min_df: float):
@@ -92,6 +85,29 @@ def vocabulary(tf: DataFrame, docs: DataFrame, min_df: float = 1.0,
     return stats.orderBy(F.desc("term_count"), F.asc("term")).limit(vocab_size)
 
 
+def capped_vocabulary(docs: DataFrame, vocab_size: int, min_df: float = 1.0, id_col: str = "doc_id", tokens_col: str = "filtered",
+                      counters: int = COUNTERS) -> DataFrame:
+    """(term, doc_freq, term_count) of the ``vocab_size`` most frequent terms (ties by term), without counting all terms.
+
+    A first pass keeps ``counters`` approximate counters in each task (a
+    frequent-items sketch) and merges them.  A term that the merged sketch does
+    not list occurs at most ``2 * 3.5 / counters`` times the number of tokens;
+    a second pass counts the listed terms exactly, so the cut is exact when its
+    last term occurs more often than that.  Where it does not (a flat
+    distribution, or ``vocab_size`` near ``counters``), all terms are counted.
+    At most ``counters`` terms go through the driver.
+    """
+    tokens = docs.select(F.explode(tokens_col).alias("term")).where(F.col("term").isNotNull())
+    sketch = tokens.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(term, {counters}, {counters})").alias("top")).first()
+    listed = docs.sparkSession.createDataFrame([(x["item"],) for x in sketch["top"] or []], "term string")
+    tf = term_frequencies(docs, id_col, tokens_col)
+    exact = vocabulary(restrict_to_vocabulary(tf, listed), docs, min_df, vocab_size)
+    least = exact.agg(F.min("term_count").alias("least"), F.count("*").alias("n")).first()
+    if least["n"] == vocab_size and least["least"] > 7.0 * sketch["n"] / counters:
+        return exact
+    return vocabulary(tf, docs, min_df, vocab_size)
+
+
 def idf_weights(vocab: DataFrame, docs: DataFrame, min_doc_freq: int = 0) -> DataFrame:
     """(term, doc_freq, idf) with idf = ln((N + 1) / (df + 1)); 0 below ``min_doc_freq``."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()
@@ -101,7 +117,7 @@ def idf_weights(vocab: DataFrame, docs: DataFrame, min_doc_freq: int = 0) -> Dat
                         .alias("idf"))
 
 
-def _salted(tf: DataFrame, terms: DataFrame, how: str) -> DataFrame:
+def salted_join(tf: DataFrame, terms: DataFrame, how: str = "inner") -> DataFrame:
     """Join postings with a table of one row per term, a term's postings dealt over ``SALTS`` reducers."""
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     dealt = tf.withColumn("_salt", salt)
@@ -111,12 +127,12 @@ def _salted(tf: DataFrame, terms: DataFrame, how: str) -> DataFrame:
 
 def restrict_to_vocabulary(tf: DataFrame, vocab: DataFrame) -> DataFrame:
     """(id, term, tf) for vocabulary terms only."""
-    return _salted(tf, vocab.select("term"), "left_semi").select(tf.columns)
+    return salted_join(tf, vocab.select("term"), "left_semi").select(tf.columns)
 
 
 def tf_idf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """(id, term, tf, tfidf) for vocabulary terms."""
-    joined = _salted(tf, idf.select("term", "idf"), "inner")
+    joined = salted_join(tf, idf.select("term", "idf"), "inner")
     return joined.select(*tf.columns, (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

@@ -444,3 +444,92 @@ SQL["word_count_incremental"] = with_(LINES, WORDS) + "select word, count(*) as
 # Seeded 90/10 split: the first 8 hex digits of md5(seed:id) against 0.9 * 2**32 in hex.
 SQL["split_seeded"] = with_(LABELLED) + """
   select doc_id, cast(substr(md5('12345:' || doc_id), 1, 8) >= 'e6666666' as integer) as part from src"""
+
+
+# ---------------------------------------------------------------- fits
+# A fit has no SQL form; what surrounds it does: the rows, vocabularies and moments it is made from.  The flags say that
+# the fit agrees with its relational score and is optimal, and must be true in every row.
+
+IS_TEST = "substr(md5('12345:' || doc_id), 1, 8) >= 'e6666666'"
+FOLD = "substr(md5('12345:fold:' || doc_id), 1, 8)"
+
+TRAIN_VOCAB = f"""
+train_vocab as (
+  select term from tf where not {IS_TEST} group by term having count(*) >= {TEXT_MIN_DF}
+)"""
+
+
+def _fit_sql() -> dict[str, str]:
+    filt = FILT.format(sw=_stop_words_sql())
+    labelled = with_(LABELLED, TOKS, filt, TF)
+    agreed = labelled.rstrip("\n") + "," + TRAIN_VOCAB + """,
+      counted as (select doc_id, count(*) as n_terms from tf where term in (select term from train_vocab) group by doc_id)
+      select doc_id, final_status, coalesce(n_terms, 0) as n_terms, true as score_agrees, true as class_agrees{more}
+      from src left join counted using (doc_id) where """ + IS_TEST
+    agrees = agreed.format(more="")
+    vocab = VOCAB.format(min_df=TEXT_MIN_DF)
+    ranks = lambda c: f"""(select {c} as v, row_number() over (order by count(*) desc, {c}) - 1 as idx from src
+                           where {c} is not null group by {c})"""                       # noqa: E731
+    moments = "count(*) filter (x <> 0) as n_rows, coalesce(sum(x), 0) as s, coalesce(sum(x * x), 0) as q"
+    fit = labelled.rstrip("\n") + "," + vocab + "," + IDF + f""",
+      n as (select count(*)::double as n from src),
+      xs as (
+        select 'term' as kind, term as name, {moments} from (select term, tf * idf as x from tf join idf using (term)) group by term
+        union all
+        select 'number', name, {moments} from (
+          select unnest(['days_campaign', 'hours_prepa', 'goal']) as name,
+                 unnest([days_campaign::double, hours_prepa, goal::double]) as x from src) group by name
+        union all
+        select 'category', 'country2', {moments} from (select coalesce(idx, (select count(*) from {ranks('country2')}))::double as x
+          from src left join {ranks('country2')} on country2 = v)
+        union all
+        select 'category', 'currency2', {moments} from (select coalesce(idx, (select count(*) from {ranks('currency2')}))::double as x
+          from src left join {ranks('currency2')} on currency2 = v)
+        union all
+        select 'intercept', '', count(*), count(*), count(*) from src)
+      select kind, name, n_rows, round(s::double, 4) as x_sum,
+             round(sqrt(greatest((q - s * s / n) / (n - 1), 0)), 4) as x_std, true as optimal from xs, n"""
+    values = ", ".join(f"({i * 3 + j}, {r!r}::double, {m!r}::double)"
+                       for i, r in enumerate((1e-8, 1e-6, 1e-4, 1e-2)) for j, m in enumerate((5.0, 10.0, 20.0)))
+    grid = f"select candidate::integer as candidate, reg_param, min_df, {{flags}} from (values {values}) g(candidate, reg_param, min_df)"
+    folds = f"""
+      part as (select *, case when {FOLD} < '55555555' then 0 when {FOLD} < 'aaaaaaaa' then 1 else 2 end as part
+               from src where not {IS_TEST}),
+      fold as (select unnest([0, 1, 2]) as fold),"""
+    return {
+        "pipeline_predict": agrees, "pipeline_predict_tf_onehot": agrees, "model_roundtrip": agrees,
+        "predictions_sink": agreed.format(more=", (select count(*) + 5 from train_vocab)::integer as n_features"),
+        "logistic_fit": fit,
+        "grid_results": grid.format(flags="true as metric_kept, true as metric_in_range, true as best_is_largest"),
+        "best_params": grid.format(flags="true as no_better, true as stages_hold_winner"),
+        "fold_vocabulary": labelled.rstrip("\n") + "," + folds + """
+          sizes as (select fold, count(*) filter (part <> fold) as n from part, fold group by fold),
+          stats as (select fold, term, count(*) as doc_freq, sum(tf)::bigint as term_count
+                    from tf join part using (doc_id), fold where part <> fold group by fold, term)
+          select fold, min_df, term, doc_freq, term_count, round(ln((n + 1.0) / (doc_freq + 1.0)), 6) as idf
+          from stats join sizes using (fold), (select unnest([5.0, 10.0, 20.0])::double as min_df) where doc_freq >= min_df""",
+        "fold_labels": with_(LABELLED).rstrip("\n") + "," + folds.rstrip(",") + """
+          select fold, name as "column", value, (row_number() over (partition by fold, name order by count(*) desc, value) - 1)::integer as index
+          from (select part, unnest(['country2', 'currency2']) as name, unnest([country2, currency2]) as value from part), fold
+          where part <> fold and value is not null group by fold, name, value""",
+    }
+
+
+SQL.update(_fit_sql())
+
+_FIELDS = ["project_id", "name", '"desc"', "keywords", "goal", "disable_communication", "country", "currency", "deadline",
+           "state_changed_at", "created_at", "launched_at", "backers_count", "final_status"]
+
+
+def _line(columns) -> str:
+    return " || ',' || ".join("'soon'" if c == "soon" else f"coalesce(cast({c} as varchar), 'false')" for c in columns)
+
+
+SQL["csv_quarantine"] = with_(CAMPAIGNS) + f"""
+  select side, line, count(*) as n from (
+    select case when k in (1, 2, 3) then 'bad' else 'good' end as side,
+           case k when 1 then {_line(["soon" if c == "deadline" else c for c in _FIELDS])}
+                  when 2 then {_line(_FIELDS[:5])}
+                  when 3 then {_line(_FIELDS)} || ',1,2'
+                  else project_id end as line
+    from (select *, cast(split_part(project_id, '-', 1) as bigint) % 97 as k from campaigns)) group by all"""

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fundscope.functions.columns import SENTINEL_TEXT
 
@@ -31,6 +32,27 @@ def read_csv(spark: SparkSession, path: str, *, header: bool = True,
     return reader.csv(path)
 
 
+def read_csv_quarantined(spark: SparkSession, path: str, schema: StructType, out: str, *, header: bool = False,
+                         null_value: str | None = SENTINEL_TEXT, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(good rows in ``schema``, malformed lines): a scan with the declared schema that loses no line.
+
+    A line with too few or too many fields, or a field that is not of its type,
+    goes to the side table with its ``file`` and its text (``line``); good and
+    bad rows together are as many as the input's records.  One pass: both are
+    written to ``out``, by side, and read from there.
+    """
+    reader = (spark.read.schema(StructType([*schema.fields, StructField("_line", StringType())])).option("header", header).option("sep", sep)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line"))
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    # All columns are written, so every field of every line is parsed.
+    scanned = reader.csv(path).withColumns({"_file": F.col("_metadata.file_path"), "_bad": F.col("_line").isNotNull()})
+    scanned.write.partitionBy("_bad").parquet(out)
+    stored = spark.read.schema(StructType([*scanned.schema.fields])).parquet(out)
+    good = stored.where(~F.col("_bad")).select(*schema.names)
+    return good, stored.where("_bad").select(F.col("_file").alias("file"), F.col("_line").alias("line"))
+
+
 def read_csv_headerless(spark: SparkSession, path: str) -> DataFrame:
     """CSV scan without a header: columns ``_c0``, ``_c1``, ... all strings."""
     return spark.read.csv(path)
