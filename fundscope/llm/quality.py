@@ -2,9 +2,12 @@
 
 Every word and every character n-gram of a word (3 and 4 characters, with the
 spaces around the word as its ends) has a learned vector, kept in 2**18 hash
-buckets; a word that repeats the word before it also counts as one common word
-pair.  A document is the average of the vectors of all its words and
-n-grams; a softmax over the classes reads that average.  Vectors and softmax
+buckets.  Every occurrence of a word also has the vectors of its frequency: how
+often the word is in the document, what share of the document's words it is, and
+both together, in steps of powers of two.  (Which frequencies speak for or
+against a document is learned like everything else; hashed words alone cannot
+tell a text that is one word over and over from others with that word.)  A
+document is the average of the vectors of all its words and n-grams; a softmax over the classes reads that average.  Vectors and softmax
 are trained together by stochastic gradient descent in numpy, one document a
 step.
 
@@ -32,7 +35,7 @@ DIM = 8
 EPOCHS = 5
 RATE = 0.5
 MAX_TRAIN = 3_000
-REPEAT = 0                 # bucket of the pair (word, same word)
+FREQUENCIES = 1024         # the first buckets are for frequencies
 
 
 @dataclass
@@ -42,12 +45,10 @@ class Model:
 
 
 def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of every word, repeated word and n-gram of a run of documents, with multiplicity."""
+    """(document, bucket) of every word, its frequency and every n-gram of a run of documents, with multiplicity."""
     words = Words(data, offsets, NON_SPACE)
     h, doc = words.hashes(), words.doc_of()
-    again = np.flatnonzero((h[1:] == h[:-1]) & (doc[1:] == doc[:-1])) + 1
-    docs = [doc, doc[again]]
-    out = [(h >> np.uint64(64 - BITS)).astype(np.int32), np.full(len(again), REPEAT, np.int32)]
+    docs, out = [doc] * 4, [(h >> np.uint64(64 - BITS)).astype(np.int32), *frequencies(h, doc, words.counts)]
     value, bound = characters(data, offsets, lower=False)
     # each document gets a space before and after it; every white space counts as a space
     n_docs = len(offsets) - 1
@@ -68,9 +69,26 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
             b = ((h[at] ^ (h[at] >> np.uint32(15))) * np.uint32(0x2C1B3C6D + 2 * n)) >> np.uint32(32 - BITS)
             docs.append(doc[at])
             out.append(b.astype(np.int32))
+    for k in (0, *range(4, len(out))):
+        out[k] = np.maximum(out[k], FREQUENCIES)
     return np.concatenate(docs), np.concatenate(out)
 
 
+def frequencies(h: np.ndarray, doc: np.ndarray, n_words: np.ndarray) -> list[np.ndarray]:
+    """Three buckets below ``FREQUENCIES`` for each word: by its count in the document, by its share, by both."""
+    order = np.argsort(h)
+    order = order[np.argsort(doc[order], kind="stable")]
+    head = np.flatnonzero(np.append(True, (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1]))[: len(h)])
+    size = np.diff(np.append(head, len(h)))
+    count = np.empty(len(h), np.int64)
+    count[order] = np.repeat(size, size)
+    n = n_words[doc]
+    times, length = np.log2(count).astype(np.int32), np.log2(np.maximum(n, 1)).astype(np.int32)
+    share = (2 * np.log2(n / np.maximum(count, 1))).astype(np.int32)        # half powers of two
+    both = 600 + np.minimum(times, 12) * 8 + np.clip(length - times, 0, 7)
+    return [times, 512 + share, both]
+
+
 def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "label", max_train: int = MAX_TRAIN, seed: int = 7) -> Model:
     """Train on the documents that ``labelled`` (id, 0/1 label) names; null labels and ids are left out.

@@ -10,6 +10,8 @@ from fundscope.llm import quality, queries, toxicity, url_filter
 from tests.conftest import SF_MID
 from tests.llm import brute, cases
 
+SF_LARGE = "/root/testdata/sf0.1"
+
 
 @pytest.mark.parametrize("name, label, folds, fold, floor", [
     ("op3_toxicity", "toxic", 5, 0, 0.92), ("op4_quality", "quality", 3, 1, 0.95)])
@@ -24,6 +26,25 @@ def test_held_out_accuracy(spark, name, label, folds, fold, floor):
     assert np.mean([p == y for p, y in held]) >= floor
 
 
+def auc(score, label):
+    order = np.argsort(score)
+    rank = np.empty(len(score))
+    rank[order] = np.arange(1, len(score) + 1)
+    ones = int(label.sum())
+    return (rank[label == 1].sum() - ones * (ones + 1) / 2) / (ones * (len(label) - ones))
+
+
+@pytest.mark.parametrize("name, label, recalls", [("op3_toxicity", "toxic", (0.97, 0.80)), ("op4_quality", "quality", (0.90, 0.97))])
+def test_both_classes_are_found(spark, name, label, recalls):
+    """On the held-out rows of sf0.1: ranking, and the share found of each class (a common one does not hide a rare one)."""
+    labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{SF_LARGE}/labels.parquet").collect()}
+    held = [r for r in queries.QUERIES[name](spark, SF_LARGE).collect() if r.held_out and r.doc_id in labels]
+    y, score, said = (np.array(x) for x in zip(*((labels[r.doc_id], r.score, r.predicted) for r in held)))
+    assert auc(score, y) >= 0.95
+    for c, least in enumerate(recalls):
+        assert np.mean(said[y == c] == c) >= least, (c, np.mean(said[y == c] == c))
+
+
 @pytest.mark.parametrize("module", [toxicity, quality])
 @pytest.mark.parametrize("labels", [[], [(1, 1), (2, 1)], [(1, 0), (2, 0), (None, 1), (3, None)],
                                     [(k, k % 2) for k in range(40)] + [(1, 1), (99, 1)]])
@@ -117,3 +138,13 @@ def test_url_plan_stays_in_the_jvm(spark):
 def test_entropy(spark):
     got = spark.createDataFrame([("",), ("aaaa",), ("abcd",), ("aab",)], "t string").select(url_filter.entropy(F.col("t"))).collect()
     assert np.allclose([r[0] for r in got], [0, 0, 2, 0.918295834])
+
+
+def test_frequency_buckets():
+    text = ["a a a b", "", "a", " ".join(["x"] * 64)]
+    data = "".join(text).encode()
+    words = quality.Words(np.frombuffer(data, np.uint8), np.cumsum([0, *map(len, text)]), quality.NON_SPACE)
+    times, share, both = quality.frequencies(words.hashes(), words.doc_of(), words.counts)
+    assert times.tolist() == [1, 1, 1, 0, 0] + [6] * 64
+    assert share.tolist() == [512, 512, 512, 516, 512] + [512] * 64
+    assert both.max() < quality.FREQUENCIES and quality.frequencies(*(np.zeros(0, np.int64),) * 3)[0].tolist() == []
