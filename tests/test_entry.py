@@ -33,3 +33,23 @@ def test_entry_imports_without_a_session(layout):
     assert out.returncode == 0, out.stderr[-2000:]
     if layout == "zip":
         assert "pyspark.zip" in out.stdout
+
+
+WITHOUT = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name in {missing!r}:
+            raise ModuleNotFoundError("No module named " + name, name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+assert len(e.queries()) >= 79 and not any(k.startswith("op") for k in e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+"""
+
+
+@pytest.mark.parametrize("missing", [("fundscope.llm",), ("corpus_pipeline",), ("xxhash",)])
+def test_core_queries_are_there_without_the_optional_part(missing):
+    env = {**os.environ, "PYTHONPATH": REPO}
+    out = subprocess.run([sys.executable, "-c", WITHOUT.format(missing=missing)], env=env, cwd="/", capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert ("xxhash" in out.stderr) == (missing == ("xxhash",))
