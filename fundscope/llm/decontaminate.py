@@ -14,10 +14,12 @@ terms, each moved by its own offset, are intersected with them from rare to
 frequent.  What is left are exact phrase matches.  With ``slop`` > 0 a second
 pass accepts every term within ``slop`` words of its place (proximity).
 
-The test passages are the stated query set.  They are read in blocks of about
-``block_words`` words (some 24 bytes a word), and each block is broadcast by
-itself: the driver holds one block at a time and the size of a broadcast is
-bounded; the number of blocks grows with the test set.
+The test passages are the stated query set.  They are hashed in tasks and stored
+in blocks; a job searches blocks of about ``block_words`` words together (some 24
+bytes a word), which is all that is collected and broadcast at a time, and its
+broadcast is given up before the next job.  Each job reads the whole index once,
+so a test set of many blocks costs as many passes; what it finds is stored and
+put together by document.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,7 +57,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         T.StructField("terms", T.BinaryType()),
         T.StructField("first", T.BinaryType()),
         T.StructField("positions", T.BinaryType()),
-    ])
+    ])                                          # and the number of the shard
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,7 +76,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     pa.array([order.astype(np.int32).tobytes()], pa.binary()),
                 ], names=schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(shards, schema)
+    return docs.select(id_col, text_col).mapInArrow(shards, schema).withColumn("shard", F.monotonically_increasing_id())
 
 
 class Shard:
@@ -109,42 +110,57 @@ class Shard:
 class Block:
     """Word hashes and windows of some test items."""
 
-    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
-        texts = [t for _, t in items]
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        words = _words(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
-        self.names = [name for name, _ in items]
-        self.hashes = words.hashes()
-        n = words.counts
-        per_item = np.where(n > 0, np.maximum(1, n - window + 1), 0)
-        self.item = np.repeat(np.arange(len(items)), per_item)
-        self.start = ranges(words.doc[:-1], per_item)
-        self.length = np.minimum(window, words.doc[1:][self.item] - self.start)
-
-    def grid(self) -> np.ndarray:
-        """A row of word numbers for each window, -1 beyond a short window's end."""
+    def __init__(self, names: list[str | None], n_words: np.ndarray, hashes: np.ndarray, window: int):
+        self.names, self.hashes = names, hashes
+        first = np.concatenate([[0], np.cumsum(n_words)])
+        per_item = np.where(n_words > 0, np.maximum(1, n_words - window + 1), 0)
+        self.item = np.repeat(np.arange(len(names)), per_item)
+        self.start = ranges(first[:-1], per_item)
+        self.length = np.minimum(window, first[1:][self.item] - self.start)
         place = np.arange(int(self.length.max(initial=1)))
-        return np.where(place < self.length[:, None], self.start[:, None] + place, -1)
+        #: a row of word numbers for each window, -1 beyond a short window's end
+        self.grid = np.where(place < self.length[:, None], self.start[:, None] + place, -1).astype(np.int32)
+
+
+def passages(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> DataFrame:
+    """block, names, n_words, hashes, size: the test items in blocks, hashed where they are read."""
+    rows = benchmark.select(F.col(id_col).cast("string").alias("name"), F.col(text_col).alias("text"))
 
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in chunks(batch.column(1), 2 * block_words):         # a word has two bytes at least
+                words = _words(data, offsets)
+                yield pa.record_batch([
+                    pa.ListArray.from_arrays(pa.array([0, end - row], pa.int32()), batch.column(0).slice(row, end - row).cast(pa.string())),
+                    pa.array([words.counts.astype(np.int32)], pa.list_(pa.int32())), pa.array([words.hashes().tobytes()], pa.binary()),
+                    pa.array([len(words)], pa.int64())], names=["names", "n_words", "hashes", "size"])
 
-def query_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> list[Broadcast]:
-    sc = benchmark.sparkSession.sparkContext
-    rows = benchmark.select(F.col(id_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
-    blocks, items, size = [], [], 0
-    for name, text in rows.toLocalIterator():
-        items.append((name, text.encode()))
-        size += len(items[-1][1]) // 2
-        if size >= block_words:
-            blocks.append(sc.broadcast(Block(items, window)))
-            items, size = [], 0
-    if items:
-        blocks.append(sc.broadcast(Block(items, window)))
-    return blocks
+    return (rows.mapInArrow(hashed, "names array<string>, n_words array<int>, hashes binary, size long")
+            .withColumn("block", F.monotonically_increasing_id()))
+
+
+def searched_together(blocks: DataFrame, block_words: int) -> list[list[int]]:
+    """Numbers of the blocks of each job: as many as make ``block_words`` words, one at least."""
+    groups, size = [], 0
+    for number, n in sorted(tuple(r) for r in blocks.select("block", "size").collect()):     # two numbers a block
+        if not groups or size + n > block_words:
+            groups.append([])
+            size = 0
+        groups[-1].append(number)
+        size += n
+    return groups
+
+
+def collected(blocks: DataFrame, numbers: list[int], window: int) -> Block:
+    """The blocks of one job, put together."""
+    rows = sorted(blocks.where(F.col("block").isin(numbers)).collect(), key=lambda r: r["block"])
+    return Block([x for r in rows for x in r["names"]], np.array([x for r in rows for x in r["n_words"]], np.int64),
+                 np.frombuffer(b"".join(r["hashes"] for r in rows), np.uint64), window)
 
 
 def phrase_matches(shard: Shard, block: Block, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(window, position of its first word) of every match."""
-    grid = block.grid()
+    grid = block.grid
     term = np.append(shard.term_of(block.hashes), -1)[grid]
     held = ((term >= 0) | (grid < 0)).all(axis=1) & (block.length > 0)
     windows = np.flatnonzero(held)
@@ -193,12 +209,44 @@ def search(index: DataFrame, benchmark: DataFrame, *, item_col: str = "item_id",
     hits, and the item is not listed.
     """
     id_type = index.schema["ids"].dataType.elementType
-    blocks = query_blocks(benchmark, item_col, text_col, window, block_words)
+    sc = index.sparkSession.sparkContext
+    blocks = stored(passages(benchmark, item_col, text_col, block_words), "passages")
+    groups = searched_together(blocks, block_words)
+    if len(groups) <= 1:
+        shared = sc.broadcast(collected(blocks, groups[0] if groups else [], window))
+        return _matched(index, shared, slop, id_type, sparse=False).drop("shard", "place")
+    found = None
+    for numbers in groups:
+        shared = sc.broadcast(collected(blocks, numbers, window))
+        part = stored(_matched(index, shared, slop, id_type, sparse=True).drop("doc_id", "n_words", "n_hit"), "matches")
+        shared.unpersist()
+        found = part if found is None else found.unionByName(part)
+    together = found.groupBy("shard", "place").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("item_ids", "near_item_ids", "spans")))
+    docs = index.select("shard", F.posexplode(F.arrays_zip("ids", "n_words")).alias("place", "d"))
+    joined = docs.join(together, ["shard", "place"], "left").select(
+        F.col("d.ids").alias("doc_id"), F.col("d.n_words").cast("long").alias("n_words"),
+        *(F.coalesce(c, F.array().cast(found.schema[c].dataType)).alias(c) for c in ("item_ids", "near_item_ids", "spans")))
+    # Spans of different blocks may overlap: they are joined from left to right.
+    ordered = joined.withColumn("spans", F.array_sort("spans"))
+    merged = F.expr("""aggregate(spans, cast(array() as array<struct<start: int, end: int>>), (done, s) ->
+        case when size(done) > 0 and element_at(done, -1).end >= s.start
+             then concat(slice(done, 1, size(done) - 1), array(named_struct('start', element_at(done, -1).start,
+                         'end', greatest(element_at(done, -1).end, s.end))))
+             else concat(done, array(s)) end)""")
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    lists = {c: F.array_sort(F.array_distinct(c)) for c in ("item_ids", "near_item_ids")}
+    return (ordered.withColumns({"spans": merged, **lists}).withColumn("n_hit", n_hit)
+            .select("doc_id", "n_words", "n_hit", "item_ids", "near_item_ids", "spans"))
+
+
+def _matched(index: DataFrame, shared, slop: int, id_type: T.DataType, sparse: bool) -> DataFrame:
+    """The matches of one block of test items, by document; ``sparse``: only documents that have any."""
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     names = T.ArrayType(T.StringType())
     schema = T.StructType([
         T.StructField("doc_id", id_type), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
         T.StructField("item_ids", names), T.StructField("near_item_ids", names), T.StructField("spans", T.ArrayType(span)),
+        T.StructField("shard", T.LongType()), T.StructField("place", T.IntegerType()),
     ])
     arrow_span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -209,6 +257,7 @@ def search(index: DataFrame, benchmark: DataFrame, *, item_col: str = "item_id",
                 into[d].add(block.names[i])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = shared.value
         for batch in batches:
             for r in range(batch.num_rows):
                 ids, n_words = batch.column(0)[r].values, np.array(batch.column(1)[r].values, np.int64)
@@ -217,8 +266,7 @@ def search(index: DataFrame, benchmark: DataFrame, *, item_col: str = "item_id",
                 shard = Shard(n_words, terms, first.astype(np.int64), positions.astype(np.int64))
                 cover = np.zeros(shard.size + 1, np.int64)
                 found, near = ([set() for _ in range(len(n_words))] for _ in range(2))
-                for shared in blocks if len(terms) else ():
-                    block = shared.value
+                if len(terms) and len(block.item):
                     w, at = phrase_matches(shard, block)
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + block.length[w], -1)
@@ -228,12 +276,16 @@ def search(index: DataFrame, benchmark: DataFrame, *, item_col: str = "item_id",
                 hit = np.cumsum(cover)[:-1] > 0
                 n_hit = sums_by(hit[: shard.bounds[-1]], shard.bounds)
                 spans = [_runs(hit[a:b]) if k else [] for a, b, k in zip(shard.bounds[:-1], shard.bounds[1:], n_hit)]
-                yield pa.record_batch([
+                out = pa.record_batch([
                     ids, pa.array(n_words), pa.array(n_hit),
                     pa.array([sorted(x) for x in found], pa.list_(pa.string())),
                     pa.array([sorted(x) for x in near], pa.list_(pa.string())),
-                    pa.array(spans, arrow_span),
+                    pa.array(spans, arrow_span), pa.array(np.full(len(n_words), batch.column(5)[r].as_py())),
+                    pa.array(np.arange(len(n_words), dtype=np.int32)),
                 ], names=schema.names)
+                if sparse:
+                    out = out.filter(pa.array([bool(n or x) for n, x in zip(n_hit.tolist(), near)], pa.bool_()))
+                yield out
 
     return index.mapInArrow(match, schema)
 

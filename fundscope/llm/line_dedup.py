@@ -120,7 +120,8 @@ def _runs(state: DataFrame, min_lines: int, depth: int) -> DataFrame:
     by_doc = Window.partitionBy(*DOC).orderBy("pos")
     pair = state.withColumn("last", F.lead("rank", min_lines - depth).over(by_doc))
     pair = pair.where((F.col("pos") + min_lines <= F.col("n_lines")) & (F.col("depth") > 0))
-    first = pair.groupBy("rank", "last").agg(F.min(F.struct(*DOC, "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # A table of its own: the join can then split the copies of a very common line over several tasks.
+    first = stored(pair.groupBy("rank", "last").agg(F.min(F.struct(*DOC, "pos")).alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
     return (pair.join(first.drop("n"), ["rank", "last"]).where(F.struct(*DOC, "pos") != F.col("first"))
             .select(*DOC, "pos", "first"))
 
@@ -130,7 +131,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     ``removed`` lists the maximal removed runs (start, end, in lines);
     ``shared_depth`` is the largest depth of the document's suffixes.  A null
-    text is one empty line.  Rows without id stay whole, with depth null.  Rows
+    text is one empty line; an empty line is a line like any other, so without
+    a minimum later blank lines go too.  Rows without id stay whole, with depth null.  Rows
     that repeat id and text are one document to the search, and all are cut alike.
     """
     array = suffix_array(lines_of(docs, id_col, text_col), min_lines)

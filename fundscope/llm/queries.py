@@ -81,9 +81,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    """Exact matches by contract; ``n_near_items``: items with a window whose words all lie within one word of their places."""
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), slop=1)
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
-                        _digest("item_ids").alias("items_sha256"), "contaminated")
+                        _digest("item_ids").alias("items_sha256"), "contaminated",
+                        F.size("near_item_ids").cast("long").alias("n_near_items"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,10 +223,10 @@ def _line_dedup_sql(min_lines: int = 3, doublings: int = 20) -> str:
             select doc_id, pos, c, lead(c, {2 ** k}) over (partition by doc_id order by pos) as f from c{k}) where f is not null)""")
     shared = " union all ".join(f"select doc_id, {2 ** k} as depth from (select doc_id, count(*) over (partition by c) as n from c{k}) where n > 1"
                                 for k in range(doublings + 1))
-    tail = " || ".join(f"lead(c, {k}) over w" for k in range(1, min_lines))
+    window = " || ".join(["c", *(f"lead(c, {k}) over w" for k in range(1, min_lines))])
     parts += [
         f"depths as (select doc_id, max(depth) as depth from ({shared}) group by doc_id)",
-        f"windows as (select doc_id, pos, md5(c || {tail}) as c from c0 window w as (partition by doc_id order by pos))",
+        f"windows as (select doc_id, pos, md5({window}) as c from c0 window w as (partition by doc_id order by pos))",
         "later as (select doc_id, pos from (select doc_id, pos, row_number() over (partition by c order by doc_id, pos) as k from windows where c is not null) where k > 1)",
         f"gone as (select distinct doc_id, pos + unnest(range(0, {min_lines})) as pos from later)",
         """flat as (select c0.doc_id, c0.pos, gone.pos is not null as removed, unnest_line.line from c0
@@ -290,4 +292,5 @@ select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bi
 from ranked join totals using (lang) where rank <= 2000"""
 
 
-ORACLE_SQL: dict[str, str] = {"op12_collocations": _COLLOCATIONS_SQL, "op13_filter_audit": _AUDIT_SQL, "op8_line_dedup": _line_dedup_sql(), "op9_mixing": _mixing_sql()}
+ORACLE_SQL: dict[str, str] = {"op12_collocations": _COLLOCATIONS_SQL, "op13_filter_audit": _AUDIT_SQL, "op8_line_dedup": _line_dedup_sql(),
+                              "op8_line_dedup_whole": _line_dedup_sql(1), "op9_mixing": _mixing_sql()}

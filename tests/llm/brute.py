@@ -53,6 +53,30 @@ def decontaminate(docs, items, k=13):
     return out
 
 
+def near_items(docs, items, slop, k=13):
+    """{doc_id: items with a window whose every word lies within slop words of its place}, every place tried"""
+    windows = {}
+    for item, text in items:
+        w = TERM.findall((text or "").translate(UPPER))
+        for p in range(max(1, len(w) - k + 1) if w else 0):
+            windows.setdefault(tuple(w[p: p + k]), set()).add(str(item))
+    out = {}
+    for d, text in docs:
+        w = TERM.findall((text or "").translate(UPPER))
+        places = {}
+        for i, x in enumerate(w):
+            places.setdefault(x, []).append(i)
+        found = set()
+        for window, names in windows.items():
+            if names <= found or any(x not in places for x in window):
+                continue
+            rare = min(range(len(window)), key=lambda i: len(places[window[i]]))
+            if any(all(any(abs(q - (p - rare + i)) <= slop for q in places[x]) for i, x in enumerate(window)) for p in places[window[rare]]):
+                found |= names
+        out[d] = found
+    return out
+
+
 def fingerprint(text, n=3):
     w = WORD.findall((text or "").translate(UPPER))
     if not w:

@@ -66,6 +66,35 @@ def test_proximity(spark):
     assert [got[k].near_item_ids for k in (1, 2, 3)] == [["x"], ["x"], []]
 
 
+def test_proximity_against_all_places(spark):
+    rows = cases.documents()
+    items = [x for x in bench(rows, random.Random(9)) if x[0] is not None]
+    rng = random.Random(3)
+    for k in range(8):                                   # passages with a word more, a word less, two words exchanged
+        w = brute.WORD.findall(rows[20 + k][1])[2:30]
+        w = [w[:9] + ["more"] + w[9:], w[:9] + w[10:], w[:9] + [w[10], w[9]] + w[11:], w[:5] + ["x", "y", "z"] + w[5:]][k % 4]
+        items.append((50 + k, " ".join(w)))
+    docs, tests = cases.frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    for block_words in (decontaminate.BLOCK_WORDS, 40):
+        got = decontaminate.search(decontaminate.build_index(docs), tests, slop=2, block_words=block_words).collect()
+        want = brute.near_items(cases.unique(rows), items, 2)
+        assert {r.doc_id: set(r.near_item_ids) for r in got if r.doc_id is not None} == want
+    assert sum(map(len, want.values())) > 10 and rng
+
+
+def test_only_one_job_s_blocks_are_held(spark, monkeypatch):
+    """Many blocks: a broadcast holds the words of one job's, never the whole test set."""
+    items = [(k, " ".join(cases.words(random.Random(k), 60))) for k in range(60)]
+    docs = spark.createDataFrame([(k, f"{items[k][1]} tail {k}") for k in range(0, 60, 3)] + [(99, "none of it")], "doc_id long, text string")
+    held = []
+    real = decontaminate.Block.__init__
+    monkeypatch.setattr(decontaminate.Block, "__init__", lambda self, names, n, hashes, window: (held.append(len(hashes)), real(self, names, n, hashes, window))[1])
+    got = decontaminate.search(decontaminate.build_index(docs), spark.createDataFrame(items, "item_id long, text string").repartition(3), block_words=200).collect()
+    assert len(held) >= 60 * 60 // 400 and max(held) <= 400 and sum(held) == 60 * 60
+    assert {r.doc_id: r.item_ids for r in got} == {**{k: [str(k)] for k in range(0, 60, 3)}, 99: []}
+    assert {r.n_hit for r in got if r.doc_id != 99} == {60}
+
+
 def test_decontaminate_empty_tables(spark):
     docs, none = cases.frame(spark, cases.documents()), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.decontaminate(docs, none).where("n_hit > 0 or contaminated").count() == 0
@@ -75,8 +104,11 @@ def test_decontaminate_empty_tables(spark):
 def test_decontamination_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
-    got = {r[0]: tuple(r[1:]) for r in queries.QUERIES["op5_decontamination"](spark, SF_SMALL).collect()}
-    assert got == brute.decontaminate(docs, items)
+    rows = queries.QUERIES["op5_decontamination"](spark, SF_SMALL).collect()
+    assert {r[0]: tuple(r[1:6]) for r in rows} == brute.decontaminate(docs, items)
+    near = brute.near_items(docs, items, 1)
+    assert {r.doc_id: r.n_near_items for r in rows} == {d: len(x) for d, x in near.items()}
+    assert all(r.n_near_items >= r.n_items for r in rows) and any(r.n_near_items for r in rows)
 
 
 def exact(ids, vectors, query, k):
