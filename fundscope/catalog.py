@@ -386,7 +386,7 @@ def q_vocabulary(spark, sf):
 @query("count_vectorize")
 def q_count_vectorize(spark, sf):
     docs = _filtered_docs(spark, sf)
-    tf = tx.term_frequencies(docs)
+    tf = tx.stored_postings(docs)
     vocab = tx.vocabulary(tf, docs, TEXT_MIN_DF)
     return tx.restrict_to_vocabulary(tf, vocab).select("doc_id", "term", F.col("tf").alias("count"))
 
@@ -394,8 +394,8 @@ def q_count_vectorize(spark, sf):
 @query("count_vectorize_capped")
 def q_count_vectorize_capped(spark, sf):
     docs = _filtered_docs(spark, sf)
-    tf = tx.term_frequencies(docs)
-    vocab = tx.capped_vocabulary(docs, CAPPED_VOCAB_SIZE)
+    tf = tx.stored_postings(docs)
+    vocab = tx.capped_vocabulary(docs, CAPPED_VOCAB_SIZE, tf=tf)
     return tx.restrict_to_vocabulary(tf, vocab).select("doc_id", "term", F.col("tf").alias("count"))
 
 
@@ -409,7 +409,7 @@ def q_idf_weights(spark, sf):
 @query("tf_idf")
 def q_tf_idf(spark, sf):
     docs = _filtered_docs(spark, sf)
-    tf = tx.term_frequencies(docs)
+    tf = tx.stored_postings(docs)
     idf = tx.idf_weights(tx.vocabulary(tf, docs, TEXT_MIN_DF), docs)
     return tx.tf_idf(tf, idf).select("doc_id", "term", "tf", _round("tfidf"))
 

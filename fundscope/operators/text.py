@@ -63,6 +63,13 @@ def term_frequencies(df: DataFrame, id_col: str = "doc_id", tokens_col: str = "f
     return tokens.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def stored_postings(df: DataFrame, id_col: str = "doc_id", tokens_col: str = "filtered") -> DataFrame:
+    """``term_frequencies``, checkpointed: a plan that uses them more than once tokenizes once."""
+    from fundscope.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return term_frequencies(df, id_col, tokens_col).checkpoint()
+
+
 def _min_df_threshold(docs: DataFrame, min_df: float):
     """``minDF`` >= 1 is a document count, below 1 a fraction of documents."""
     if min_df >= 1.0:
@@ -86,7 +93,7 @@ def vocabulary(tf: DataFrame, docs: DataFrame, min_df: float = 1.0,
 
 
 def capped_vocabulary(docs: DataFrame, vocab_size: int, min_df: float = 1.0, id_col: str = "doc_id", tokens_col: str = "filtered",
-                      counters: int = COUNTERS) -> DataFrame:
+                      counters: int = COUNTERS, tf: DataFrame | None = None) -> DataFrame:
     """(term, doc_freq, term_count) of the ``vocab_size`` most frequent terms (ties by term), without counting all terms.
 
     A first pass keeps ``counters`` approximate counters in each task (a
@@ -95,13 +102,14 @@ def capped_vocabulary(docs: DataFrame, vocab_size: int, min_df: float = 1.0, id_
     a second pass counts the listed terms exactly, so the cut is exact when its
     last term occurs more often than that.  Where it does not (a flat
     distribution, or ``vocab_size`` near ``counters``), all terms are counted.
-    At most ``counters`` terms go through the driver.
+    At most ``counters`` terms go through the driver.  ``tf``: the postings, if
+    they are there already.
     """
     tokens = docs.select(F.explode(tokens_col).alias("term")).where(F.col("term").isNotNull())
     sketch = tokens.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(term, {counters}, {counters})").alias("top")).first()
     listed = docs.sparkSession.createDataFrame([(x["item"],) for x in sketch["top"] or []], "term string")
-    tf = term_frequencies(docs, id_col, tokens_col)
-    exact = vocabulary(restrict_to_vocabulary(tf, listed), docs, min_df, vocab_size)
+    tf = term_frequencies(docs, id_col, tokens_col) if tf is None else tf
+    exact = vocabulary(restrict_to_vocabulary(tf, listed), docs, min_df, vocab_size).checkpoint()
     least = exact.agg(F.min("term_count").alias("least"), F.count("*").alias("n")).first()
     if least["n"] == vocab_size and least["least"] > 7.0 * sketch["n"] / counters:
         return exact
