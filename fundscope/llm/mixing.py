@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundscope.llm.storage import stored
+
 SEED = 20
 MAX_EPOCHS = 3
 SLICE_DIGITS = 3          # of the md5: 16**3 slices a leaf
@@ -127,7 +129,8 @@ def mix(docs: DataFrame, levels: Sequence[str], total: Column | int, *, weights:
     """
     levels = list(levels)
     key = lambda epoch: F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("mix_id"), F.lit(""))))
-    narrow = docs.select(*levels, F.col(id_col).cast("string").alias("mix_id"), n_tokens(F.col(text_col)).alias("mix_n"))
+    # Leaves and cuts need the counts of all documents: counted once, in a small table.
+    narrow = stored(docs.select(*levels, F.col(id_col).cast("string").alias("mix_id"), n_tokens(F.col(text_col)).alias("mix_n")), "token_counts")
     leaves = narrow.groupBy(*levels).agg(F.sum("mix_n").alias("tokens"))
     plan = leaves.alias("l").join(budgets(leaves, levels, total, weights, max_epochs).alias("b"),
                                   _same("l", "b", levels)).select(
@@ -151,7 +154,7 @@ def mix(docs: DataFrame, levels: Sequence[str], total: Column | int, *, weights:
            .groupBy(*node).agg(F.min(F.struct("mix_key", "mix_id", (F.col("rest") - F.col("before")).alias("take"))).alias("cut")))
     full = (plan.alias("p").join(cut.alias("c"), _same("p", "c", levels, node), "left")
             .select(*[F.col(f"p.{c}").alias(c) for c in levels], F.col("whole").alias("mix_whole"), F.col("cut").alias("mix_cut")).checkpoint())
-    # one pass over the documents
+    # a second pass over the documents
     row = docs.withColumn("mix_id", F.col(id_col).cast("string")).withColumn("mix_n", n_tokens(F.col(text_col))).where("mix_n > 0")
     chosen = _joined(row, full, levels).withColumn("mix_key", key(F.col("mix_whole")))
     last = F.when(F.col("mix_key") < F.col("mix_cut.mix_key"), F.col("mix_n")).when(

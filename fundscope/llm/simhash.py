@@ -28,11 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundscope.llm.arrays import LOWER, NON_SPACE, U64, Words, chunks, ranges
 from fundscope.llm.graph import components
 from fundscope.llm.storage import stored
 
@@ -41,7 +40,6 @@ MAX_BITS = 3
 SEED = 42
 CHUNK = 2048
 HELD_PAIRS = 1 << 20
-SHINGLES_AT_ONCE = 1 << 18
 
 # ------------------------------------------------------------------ Golay code
 
@@ -103,6 +101,59 @@ def keys(fingerprint: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ fingerprints
 
+# The primes of XXH64.
+P1, P2, P3, P4, P5 = (U64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+                                       0x27D4EB2F165667C5))
+
+
+def _rotl(x: np.ndarray, r: int) -> np.ndarray:
+    return (x << U64(r)) | (x >> U64(64 - r))
+
+
+def _round(acc: np.ndarray, lane: np.ndarray) -> np.ndarray:
+    return _rotl(acc + lane * P2, 31) * P1
+
+
+def xxh64(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """XXH64 of many slices of one byte array at once; slices drop out as they end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    lane = lambda at: windows[at].view(U64).ravel()
+    seed, size, at = U64(seed), end - start, start.copy()
+    with np.errstate(over="ignore"):
+        acc = np.full(len(start), seed + P5)
+        long = np.flatnonzero(size >= 32)
+        if len(long):
+            v, going = [np.full(len(long), x) for x in (seed + P1 + P2, seed + P2, seed, seed - P1)], np.arange(len(long))
+            while len(going):
+                where = at[long[going]]
+                for k in range(4):
+                    v[k][going] = _round(v[k][going], lane(where + 8 * k))
+                at[long[going]] += 32
+                going = going[end[long[going]] - at[long[going]] >= 32]
+            total = _rotl(v[0], 1) + _rotl(v[1], 7) + _rotl(v[2], 12) + _rotl(v[3], 18)
+            for x in v:
+                total = (total ^ _round(U64(0), x)) * P1 + P4
+            acc[long] = total
+        acc += size.astype(U64)
+        going = np.flatnonzero(end - at >= 8)
+        while len(going):
+            acc[going] = _rotl(acc[going] ^ _round(U64(0), lane(at[going])), 27) * P1 + P4
+            at[going] += 8
+            going = going[end[going] - at[going] >= 8]
+        going = np.flatnonzero(end - at >= 4)
+        acc[going] = _rotl(acc[going] ^ ((lane(at[going]) & U64(0xFFFFFFFF)) * P1), 23) * P2 + P3
+        at[going] += 4
+        going = np.flatnonzero(end > at)
+        while len(going):
+            acc[going] = _rotl(acc[going] ^ (padded[at[going]].astype(U64) * P5), 11) * P1
+            at[going] += 1
+            going = going[end[going] > at[going]]
+        acc = (acc ^ (acc >> U64(33))) * P2
+        acc = (acc ^ (acc >> U64(29))) * P3
+        return acc ^ (acc >> U64(32))
+
+
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -111,23 +162,24 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
     return np.concatenate([np.bincount(part[:, k], minlength=256) @ _BITS for k in range(8)])
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """SimHash of one whole text (its bytes); no words: zero."""
-    text = b" ".join(text.lower().split())        # bytes: A-Z and ASCII white space only
-    if not text:
-        return 0
-    gaps = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x20)
-    start = np.concatenate([[0], gaps + 1])
-    end = np.concatenate([gaps, [len(text)]])
-    if len(start) > shingle:
-        start, end = start[: -(shingle - 1) or None], end[shingle - 1:]
-    else:
-        start, end = start[:1], end[-1:]
-    digest, count = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for k in range(0, len(start), SHINGLES_AT_ONCE):
-        spans = zip(start[k: k + SHINGLES_AT_ONCE].tolist(), end[k: k + SHINGLES_AT_ONCE].tolist())
-        count += _bit_counts(np.array([digest(text[s:e], SEED) for s, e in spans], np.uint64))
-    return int(np.packbits(2 * count > len(start), bitorder="little").view(np.uint64)[0])
+def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+    """SimHash of each of the texts that lie end to end; no words: zero."""
+    data = LOWER[data]
+    words = Words(data, offsets, NON_SPACE)
+    size, n = words.end - words.start, words.counts
+    at = np.concatenate([[0], np.cumsum(size + 1)])                     # the words again, a space after each
+    line = np.full(at[-1], 0x20, np.uint8)
+    line[ranges(at[:-1], size)] = data[ranges(words.start, size)]
+    count = np.where(n > 0, np.maximum(n - shingle + 1, 1), 0)
+    first = ranges(words.doc[:-1], count)
+    bounds = np.concatenate([[0], np.cumsum(count)])
+    out = np.zeros(len(n), U64)
+    last = np.minimum(first + shingle, np.repeat(words.doc[1:], count))
+    h = xxh64(line, at[first], at[last] - 1, SEED)
+    for d in np.flatnonzero(count).tolist():
+        mine = h[bounds[d]: bounds[d + 1]]
+        out[d] = np.packbits(2 * _bit_counts(mine) > len(mine), bitorder="little").view(U64)[0]
+    return out
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -136,9 +188,9 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
-            fp = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(fp.view(np.int64))], names=schema.names)
+            for row, end, data, offsets in chunks(batch.column(1)):
+                yield pa.record_batch([batch.column(0).slice(row, end - row), pa.array(fingerprints_of(data, offsets, shingle).view(np.int64))],
+                                      names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(hashed, schema)
 
