@@ -108,10 +108,11 @@ def test_candidates_and_links_join_what_is_similar(spark, monkeypatch, chunk):
     found = docs.sparkSession.createDataFrame([(bytearray(k), bytearray(b"x")) for k in names], "key binary, bundle binary")
     listed = minhash.full_sets(docs.join(signed.select("row_id", "key"), docs["doc_id"] == signed["row_id"]).where("key is not null")
                                .select("key", "text").dropDuplicates(["key"]))
+    want, parent = components([(d, t) for d, t in texts if d in sets]), {d: d for d in sets}
     for r in minhash.links(found, listed).collect():         # of all classes as one bundle
-        a, b = sorted((names[bytes(r.a)], names[bytes(r.b)]))
-        similar_root = components([(d, t) for d, t in texts if d in names.values()])
-        assert similar_root[a][1] == similar_root[b][1]
+        a, b = (root(names[bytes(x)]) for x in (r.a, r.b))
+        parent[max(a, b)] = min(a, b)
+    assert {d: root(d) for d in sets} == {d: c for d, (_, c) in want.items()}
 
 
 def test_signatures_estimate_similarity():
