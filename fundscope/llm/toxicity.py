@@ -6,8 +6,8 @@ toxic and other labelled documents each bucket occurs; the smoothed log ratio
 of the two shares is the bucket's value.  Buckets whose ratio is not clearly
 away from zero (z below ``MIN_Z``) carry nearly no weight after the scaling
 and are left out, and so are buckets of fewer than ``MIN_DOCS`` labelled
-documents, whose ratio is chance; the number of features has no other limit
-than the buckets.  A logistic regression on the scaled features is then
+documents, whose ratio is chance; of the rest the ``max_features`` clearest ones
+are the model's features, which bounds what a scoring task holds.  A logistic regression on the scaled features is then
 fitted by numpy on the labelled documents.
 
 Bound: the fit reads at most ``max_train`` labelled documents (chosen by the
@@ -30,6 +30,7 @@ from fundscope.llm.arrays import characters, chunks, distinct
 SIZES = (4, 5, 6, 7)
 BITS = 20
 MAX_TRAIN = 10_000
+MAX_FEATURES = 1 << 15
 MIN_Z = 4.0
 MIN_DOCS = 3
 L2 = 1e-3
@@ -69,7 +70,7 @@ def sample(labelled: DataFrame, id_col: str, max_train: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "label", max_train: int = MAX_TRAIN) -> Model:
+        label_col: str = "label", max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES) -> Model:
     """Fit on the documents that ``labelled`` (id, 0/1 label) names.  Null labels and ids are left out.
 
     Without documents of both labels every document gets the share of label 1
@@ -103,7 +104,7 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
     spread = F.sqrt(1 / (F.col("n1") + 1) + 1 / (F.col("n0") + 1))
     kept = (counts.where((F.col("bucket") >= 0) & (F.col("n0") + F.col("n1") >= MIN_DOCS))
             .select("bucket", ratio.alias("ratio"), F.abs(ratio / spread).alias("z"))
-            .where(F.col("z") >= MIN_Z).collect())           # 2**20 buckets at most
+            .where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "bucket").limit(max_features).collect())
     feature = np.array(sorted(r.bucket for r in kept), np.int64)
     value = {r.bucket: r.ratio for r in kept}
     scale = np.array([value[b] for b in feature.tolist()], np.float64)
