@@ -181,13 +181,3 @@ def test_links_of_dense_groups_connect_all_near_pairs(spark, monkeypatch, chunk)
 def test_simhash_empty(spark):
     assert simhash.near_duplicates(cases.frame(spark, [])).collect() == []
     assert simhash.drop_near_duplicates(cases.frame(spark, [])).collect() == []
-
-
-def test_hash_of_many_slices_is_xxh64():
-    rng = np.random.default_rng(6)
-    data = rng.integers(0, 256, 5000).astype(np.uint8)
-    start = rng.integers(0, 4700, 900)
-    end = start + np.concatenate([np.arange(300), np.arange(300) % 40, rng.integers(0, 200, 300)])
-    raw = data.tobytes()
-    assert simhash.xxh64(data, start, end, 42).tolist() == [brute.xxhash.xxh64_intdigest(raw[a:b], 42) for a, b in zip(start, end)]
-    assert simhash.xxh64(data, start[:0], end[:0], 42).tolist() == []
