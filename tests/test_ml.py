@@ -251,3 +251,18 @@ def test_a_million_labels(spark):
 def test_empty_label_table(spark):
     none = spark.createDataFrame([], "id long, v string")
     assert en.label_index(none, "v").collect() == [] and en.index_strings(none, "v", "x").collect() == []
+
+
+def test_fit_steps_carry_no_feature_names(spark, monkeypatch):
+    """The optimizer's input has no name for each feature in its schema, which every task of every step would read."""
+    from pyspark.ml.classification import LogisticRegression
+    rows = spark.range(40).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias(ev.LABEL_COL),
+                                  F.concat(F.lit("apple pear word"), F.col("id") % 7, F.lit(" word"), F.col("id") % 5).alias("text"),
+                                  *[F.lit(i).alias(c) for i, c in enumerate(("days_campaign", "hours_prepa", "goal"))],
+                                  F.lit("FR").alias("country2"), F.lit("EUR").alias("currency2"))
+    seen, fit = [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, data: (seen.append(data.schema["features"].metadata), fit(self, data))[1])
+    model = tr.fit_pipeline(rows, 2.0, 1e-4)
+    assert [m.get("ml_attr", {}).get("attrs") for m in seen] == [None]
+    plain = Pipeline(stages=md.feature_stages(min_df=2.0)[0] + [md.logistic_regression(reg_param=1e-4)]).fit(rows)
+    assert abs(model.stages[-1].coefficients.toArray() - plain.stages[-1].coefficients.toArray()).max() < 1e-6
