@@ -206,7 +206,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column ``fp``) that connect all pairs within ``max_bits`` (3 at most)."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError("the keys hold for up to 3 differing bits")
-    entries = distinct.select("fp").mapInArrow(_keyed, "key long, fp long, nearest boolean")
+    # A fingerprint becomes 42 entries: dealt out by a hash and a number, so that few small partitions are not merged before that.
+    spread = distinct.select("fp").repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
+    entries = spread.mapInArrow(_keyed, "key long, fp long, nearest boolean")
     shared = (entries.groupBy("key")
               .agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high"), F.max("nearest").alias("any"))
               .where("low <> high and any").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")))
