@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundscope.llm.arrays import ALNUM, LOWER, Words, chunks, heads, ranges, sums_by
+from fundscope.llm.batches import map_texts
 from fundscope.llm.storage import stored
 
 WINDOW = 13
 MIN_SHARE = 20            # contaminated: at least one word in 20 is hit
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 BLOCK_WORDS = 1 << 18
 CANDIDATES = 1 << 21      # candidates that are held at a time
 
@@ -76,7 +77,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     pa.array([order.astype(np.int32).tobytes()], pa.binary()),
                 ], names=schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(shards, schema).withColumn("shard", F.monotonically_increasing_id())
+    return map_texts(docs.select(id_col, text_col), shards, schema).withColumn("shard", F.monotonically_increasing_id())
 
 
 class Shard:
@@ -135,7 +136,7 @@ def passages(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
                     pa.array([words.counts.astype(np.int32)], pa.list_(pa.int32())), pa.array([words.hashes().tobytes()], pa.binary()),
                     pa.array([len(words)], pa.int64())], names=["names", "n_words", "hashes", "size"])
 
-    return (rows.mapInArrow(hashed, "names array<string>, n_words array<int>, hashes binary, size long")
+    return (map_texts(rows, hashed, "names array<string>, n_words array<int>, hashes binary, size long")
             .withColumn("block", F.monotonically_increasing_id()))
 
 
@@ -287,7 +288,7 @@ def _matched(index: DataFrame, shared, slop: int, id_type: T.DataType, sparse: b
                     out = out.filter(pa.array([bool(n or x) for n, x in zip(n_hit.tolist(), near)], pa.bool_()))
                 yield out
 
-    return index.mapInArrow(match, schema)
+    return map_texts(index, match, schema)
 
 
 def _runs(hit: np.ndarray) -> list[dict]:

@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundscope.llm.batches import map_texts
 from fundscope.llm.graph import components
 from fundscope.llm.storage import stored
 
@@ -140,7 +141,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             fp = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
             yield pa.record_batch([batch.column(0), pa.array(fp.view(np.int64))], names=schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(hashed, schema)
+    return map_texts(docs.select(id_col, text_col), hashed, schema)
 
 
 # ------------------------------------------------------------------ links

@@ -33,13 +33,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundscope.llm.arrays import LOWER, NON_SPACE, Words, chunks, heads, ranges, sums_by
+from fundscope.llm.batches import map_texts
 from fundscope.llm.storage import stored
 from fundscope.session import scratch_path
 
 LENGTH = 2048
 SEQUENCES = 128            # per batch
 END_ID = 1
-CACHED_PARTS = 1_000_000   # per worker (some 30 MB); only saves time
+CACHED_PARTS = 500_000     # per worker (some 15 MB); only saves time
+ENCODED_AT_ONCE = 4096     # parts: an encoding takes about a kB
+CHUNK_BYTES = 256 << 10    # a run of texts, encoded together
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -96,8 +99,10 @@ class Encoder:
                 for k, a, b in zip(some, np.append(0, end[:-1]).tolist(), end.tolist()):
                     lists[k] = ids[a:b]
         alone = [k for k, x in enumerate(lists) if x is None]
-        for k, e in zip(alone, self.tokenizer.encode_batch_fast([parts[k] for k in alone], add_special_tokens=False)):
-            lists[k] = np.array(e.ids, np.int64)
+        for at in range(0, len(alone), ENCODED_AT_ONCE):
+            some = alone[at: at + ENCODED_AT_ONCE]
+            for k, e in zip(some, self.tokenizer.encode_batch_fast([parts[k] for k in some], add_special_tokens=False)):
+                lists[k] = np.array(e.ids, np.int64)
         return np.concatenate([np.zeros(0, np.int64), *lists]), np.array([len(x) for x in lists], np.int64)
 
     def learn(self, h: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> None:
@@ -234,7 +239,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, folder: str | None = N
         with fs.open_output_stream(f"{at}/{name}.arrow") as sink, fs.open_output_stream(f"{at}/{name}.docs.arrow") as side:
             out, index = _SequenceWriter(sink, length, encode.dtype), pa.ipc.new_file(side, fields)
             for batch in itertools.chain([start], batches):
-                for row, end, data, offsets in chunks(batch.column(1), 1 << 20):
+                for row, end, data, offsets in chunks(batch.column(1), CHUNK_BYTES):
                     ids, count = encode(data, offsets, end_id)
                     place = out.total + np.cumsum(count) - count
                     index.write_batch(pa.record_batch([batch.column(0).slice(row, end - row), pa.array(place),
@@ -249,7 +254,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, folder: str | None = N
     tie = F.xxhash64(F.col(text_col))
     ordered = (docs.select(id_col, text_col).repartitionByRange(F.col(id_col), tie)
                .sortWithinPartitions(F.col(id_col), tie, F.col(text_col)))
-    return stored(ordered.mapInArrow(write, "part long, path string, n_docs long, n_ids long"), "manifest")
+    return stored(map_texts(ordered, write, "part long, path string, n_docs long, n_ids long"), "manifest")
 
 
 def read_sequences(manifest: DataFrame, id_type) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundscope.llm.arrays import characters, chunks, distinct
+from fundscope.llm.batches import map_texts
 
 SIZES = (4, 5, 6, 7)
 BITS = 20
@@ -35,6 +36,7 @@ MIN_Z = 4.0
 MIN_DOCS = 3
 L2 = 1e-3
 STEPS = 150
+CHUNK_BYTES = 128 << 10    # the n-grams of a run of texts take 300 times its bytes
 
 
 @dataclass
@@ -86,7 +88,7 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
         for batch in batches:
             label = (np.asarray(batch.column(0)) != 0).astype(np.int64)
             total += np.bincount(label, minlength=2)
-            for row, end, data, offsets in chunks(batch.column(1)):
+            for row, end, data, offsets in chunks(batch.column(1), CHUNK_BYTES):
                 doc, bucket = buckets(data, offsets)
                 for k in (0, 1):
                     seen[k] += np.bincount(bucket[label[row:end][doc] == k], minlength=1 << BITS).astype(np.int32)
@@ -94,7 +96,7 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
         yield pa.record_batch([pa.array(np.append(held, -1)), pa.array(np.append(seen[0][held], total[0]).astype(np.int64)),
                                pa.array(np.append(seen[1][held], total[1]).astype(np.int64))], names=["bucket", "n0", "n1"])
 
-    counts = train.mapInArrow(counted, "bucket long, n0 long, n1 long").groupBy("bucket").agg(
+    counts = map_texts(train, counted, "bucket long, n0 long, n1 long").groupBy("bucket").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     n0, n1 = next(((int(r.n0), int(r.n1)) for r in counts.where("bucket = -1").collect()), (0, 0))
     bias = float(np.log((n1 + 0.5) / (n0 + 0.5))) if n0 + n1 else -50.0
@@ -115,14 +117,14 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(0)
-            for row, end, data, offsets in chunks(batch.column(1)):
+            for row, end, data, offsets in chunks(batch.column(1), CHUNK_BYTES):
                 doc, bucket = buckets(data, offsets, shared.value >= 0)
                 bounds = np.searchsorted(doc, np.arange(end - row + 1))
                 ids = shared.value[bucket]
                 yield pa.record_batch([label.slice(row, end - row), pa.array(
                     [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())], names=["label", "ids"])
 
-    rows = train.mapInArrow(featured, "label int, ids binary").toArrow()    # at most max_train rows of features
+    rows = map_texts(train, featured, "label int, ids binary").toArrow()    # at most max_train rows of features
     label = np.asarray(rows.column("label").combine_chunks() if rows.num_rows else []).astype(np.float64)
     ids = [np.frombuffer(x.as_buffer(), np.int32) for x in rows.column("ids")]
     weight, bias = logistic(ids, label, scale, bias)
@@ -175,12 +177,12 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         wanted = weight != 0
         for batch in batches:
             out = np.full(batch.num_rows, bias)
-            for row, end, data, offsets in chunks(batch.column(len(rest))):
+            for row, end, data, offsets in chunks(batch.column(len(rest)), CHUNK_BYTES):
                 doc, bucket = buckets(data, offsets, wanted)
                 out[row:end] += np.bincount(doc, weight[bucket], minlength=end - row)
             yield pa.record_batch([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(out, -40, 40))))], names=schema.names)
 
-    found = docs.select(*rest, text_col).mapInArrow(scored, schema)
+    found = map_texts(docs.select(*rest, text_col), scored, schema)
     return found.select(*keep, score_col)
 
 
