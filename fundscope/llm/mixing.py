@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,7 +92,9 @@ def budgets(leaves: DataFrame, levels: Sequence[str], total: Column | int, weigh
         listed = [(*[None if x is None else str(x) for x in p], int(w)) for p, w in (weights or {}).items() if len(p) == depth]
         names = [f"node_{k}" for k in range(depth)]
         if listed:
-            table = spark.createDataFrame(listed, ", ".join(f"`{c}` string" for c in names) + ", weight long")
+            kinds = [pa.string()] * depth + [pa.int64()]
+            # An Arrow table: a list would start workers of another kind on every executor.
+            table = spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(zip(*listed), kinds)], names=[*names, "weight"]))
             cond = [F.col(c).cast("string").eqNullSafe(F.col(k)) for c, k in zip(path, names)]
             on = cond[0]
             for c in cond[1:]:

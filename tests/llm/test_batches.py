@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fundscope.llm import decontaminate, simhash, token_files, toxicity
+from fundscope.llm import decontaminate, mixing, simhash, token_files, toxicity
 from fundscope.llm.arrays import chunks
 from fundscope.llm.batches import BATCH_BYTES, BATCH_BYTES_CONF, map_texts
 
@@ -82,3 +82,12 @@ def test_runs_of_texts_take_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 64 << 20
+
+
+def test_weights_of_a_mix_need_no_python_workers(spark):
+    leaves = spark.createDataFrame([("a", "x", 10), ("a", None, 10), (None, "x", 10)], "top string, low string, tokens long")
+    leaves = leaves.groupBy("top", "low").agg(F.sum("tokens").alias("tokens")).checkpoint()
+    found = mixing.budgets(leaves, ["top", "low"], 12, {("a",): 2, (None,): 1, ("a", None): 3})
+    assert {(r.top, r.low): r.budget for r in found.collect()} == {("a", "x"): 2, ("a", None): 6, (None, "x"): 4}
+    plan = found._jdf.queryExecution().toString()
+    assert "LocalRelation" in plan and plan.count("Scan ExistingRDD") == plan.count("Scan ExistingRDD[top")
