@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundscope.llm.storage import stored
+
 MAX_ROUNDS = 60
 
 
@@ -14,11 +16,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternating large-star and small-star steps: every step links a node's
     neighbours to the smallest of them, with one aggregation (pre-aggregated
     before the shuffle, so a node of many edges is no hot group) and one join
-    on the node.  The edge list is checkpointed after each round.  It ends when
-    a round changes nothing, in about the logarithm of the longest path.
+    on the node.  The edge list is stored after each round, by one job whose
+    files the next round reads in as few tasks as their size asks for.  It ends
+    when a round changes nothing, in about the logarithm of the longest path.
     """
-    e = (edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
-         .where("hi <> lo").distinct().checkpoint())
+    e = stored(edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
+               .where("hi <> lo").distinct(), "edges")
     before = None
     for _ in range(MAX_ROUNDS):
         both = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
@@ -28,7 +31,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").select(
             F.explode(F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("x"))
-        e = small.select("x.hi", "x.lo").where("hi <> lo").distinct().checkpoint()
+        e = stored(small.select("x.hi", "x.lo").where("hi <> lo").distinct(), "edges")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == before:
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ MIN_DOCS = 3
 L2 = 1e-3
 STEPS = 150
 CHUNK_BYTES = 128 << 10    # the n-grams of a run of texts take 300 times its bytes
+STEP_BYTES = 256 << 10     # of features, of which a step of the regression takes 20 times the bytes
 
 
 @dataclass
@@ -107,9 +109,10 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
     kept = (counts.where((F.col("bucket") >= 0) & (F.col("n0") + F.col("n1") >= MIN_DOCS))
             .select("bucket", ratio.alias("ratio"), F.abs(ratio / spread).alias("z"))
             .where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "bucket").limit(max_features).collect())
-    feature = np.array(sorted(r.bucket for r in kept), np.int64)
-    value = {r.bucket: r.ratio for r in kept}
-    scale = np.array([value[b] for b in feature.tolist()], np.float64)
+    feature, scale = np.array([r.bucket for r in kept], np.int64), np.array([r.ratio for r in kept], np.float64)
+    del kept
+    feature, scale = feature[order := np.argsort(feature)], scale[order]
+    kind = np.uint16 if len(feature) <= 1 << 16 else np.int32     # of the features that reach the driver
     number = np.full(1 << BITS, -1, np.int32)
     number[feature] = np.arange(len(feature))
     shared = train.sparkSession.sparkContext.broadcast(number)             # 4 MB whatever the data
@@ -120,38 +123,51 @@ def fit(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_co
             for row, end, data, offsets in chunks(batch.column(1), CHUNK_BYTES):
                 doc, bucket = buckets(data, offsets, shared.value >= 0)
                 bounds = np.searchsorted(doc, np.arange(end - row + 1))
-                ids = shared.value[bucket]
+                ids = shared.value[bucket].astype(kind)
                 yield pa.record_batch([label.slice(row, end - row), pa.array(
                     [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())], names=["label", "ids"])
 
     rows = map_texts(train, featured, "label int, ids binary").toArrow()    # at most max_train rows of features
-    label = np.asarray(rows.column("label").combine_chunks() if rows.num_rows else []).astype(np.float64)
-    ids = [np.frombuffer(x.as_buffer(), np.int32) for x in rows.column("ids")]
-    weight, bias = logistic(ids, label, scale, bias)
+    weight, bias = logistic(rows, kind, scale, bias)
     table = np.zeros(1 << BITS, np.float32)
     table[feature] = weight * scale
     return Model(table, bias)
 
 
-def logistic(ids: list[np.ndarray], label: np.ndarray, scale: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
-    """L2 logistic regression by accelerated gradient steps; features are ``scale`` where present."""
-    order = sorted(range(len(ids)), key=lambda i: (ids[i].tobytes(), label[i]))   # the same sums for any row order
-    ids, label = [ids[i] for i in order], label[order]
-    doc = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-    n = max(1, len(label))
-    bound = np.bincount(doc, scale[flat] ** 2, minlength=n).max(initial=0) + 1
+def logistic(rows: pa.Table, kind: type, scale: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
+    """L2 logistic regression by accelerated gradient steps; features are ``scale`` where present.
+
+    ``rows`` has the label and the features (``ids``, the bytes of numbers of
+    ``kind``) of each document.  A step takes some documents at a time.
+    """
+    order = pc.sort_indices(rows, sort_keys=[("ids", "ascending"), ("label", "ascending")])   # the same sums for any row order
+    label = np.asarray(rows.column("label").combine_chunks().take(order)).astype(np.float64)
+    ids = rows.column("ids").combine_chunks().take(order)
+    n, width = max(1, len(label)), np.dtype(kind).itemsize
+
+    def parts() -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for row, end, data, offsets in chunks(ids, STEP_BYTES):
+            yield slice(row, end), data.view(kind), np.repeat(np.arange(end - row), np.diff(offsets) // width)
+
+    held, squares, most = np.zeros(len(scale)), 0.0, 0
+    for at, flat, doc in parts():
+        held += np.bincount(flat, minlength=len(scale))
+        squares = max(squares, np.bincount(doc, scale[flat] ** 2).max(initial=0))
+        most = max(most, np.bincount(doc).max(initial=0))
+    bound = squares + 1
     w = np.zeros(len(scale) + 1)
     w[-1] = bias
     look, momentum = w.copy(), 1.0
     # Steps follow each feature's own curvature, bounded by the documents that hold it.
-    held = np.bincount(flat, minlength=len(scale)) * scale ** 2
-    width = np.bincount(doc, minlength=n).max(initial=0) + 1
-    step = 1.0 / np.append(0.25 * held / n * min(width, 64) + L2 + 1e-3 * bound / n, 0.25)
+    step = 1.0 / np.append(0.25 * held * scale ** 2 / n * min(most + 1, 64) + L2 + 1e-3 * bound / n, 0.25)
+    error = np.zeros(len(label))
     for _ in range(STEPS):
-        margin = np.bincount(doc, (look[:-1] * scale)[flat], minlength=n)[: len(label)] + look[-1]
-        error = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - label
-        grad = np.append(np.bincount(flat, error[doc], minlength=len(scale)) * scale / n + L2 * look[:-1], error.mean())
+        scaled, total = look[:-1] * scale, np.zeros(len(scale))
+        for at, flat, doc in parts():
+            margin = np.bincount(doc, scaled[flat], minlength=at.stop - at.start) + look[-1]
+            error[at] = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - label[at]
+            total += np.bincount(flat, error[at][doc], minlength=len(scale))
+        grad = np.append(total * scale / n + L2 * look[:-1], error.mean())
         new = look - 0.5 * step * grad
         if (new - w) @ grad > 0:
             momentum = 1.0

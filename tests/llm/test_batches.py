@@ -84,6 +84,23 @@ def test_runs_of_texts_take_little_memory():
     assert peak < 64 << 20
 
 
+def test_a_fit_takes_little_memory_of_the_driver(spark, monkeypatch):
+    """The regression's arrays do not grow with the features of all documents (900,000 here)."""
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    n = 1500
+    letters = F.concat_ws("", *[F.substring(F.md5(F.concat_ws(":", (F.col("id") % 2).cast("string"), F.lit(k).cast("string"))), 1, 30)
+                                for k in range(12)])
+    docs = spark.range(0, n, 1, 4).select(F.col("id").alias("doc_id"), letters.alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("label"))
+    tracemalloc.start()
+    model = toxicity.fit(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    score = {r.doc_id % 2: r.score for r in toxicity.score(docs, model).collect()}
+    assert score[0] < 0.5 < score[1]
+    assert peak < 24 << 20
+
+
 def test_weights_of_a_mix_need_no_python_workers(spark):
     leaves = spark.createDataFrame([("a", "x", 10), ("a", None, 10), (None, "x", 10)], "top string, low string, tokens long")
     leaves = leaves.groupBy("top", "low").agg(F.sum("tokens").alias("tokens")).checkpoint()

@@ -142,6 +142,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_rounds_of_components_read_few_tasks(spark):
+    """A round's tasks go by the size of the edges, not by the partitions that they came in."""
+    edges = spark.range(0, 400, 1, 40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = components(edges)
+        assert found.groupBy("root").count().collect() == [(0, 401)]
+        assert found.rdd.getNumPartitions() <= 16
+        assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_simhash_documents(spark):
     rows = cases.documents()
     got = simhash.near_duplicates(cases.frame(spark, rows)).collect()
