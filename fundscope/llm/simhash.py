@@ -214,7 +214,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
               .agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high"), F.max("nearest").alias("any"))
               .where("low <> high and any").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")))
     chunk = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    pairs = (entries.join(shared, "key")
+    # Spark sizes the entries as the fingerprints they are made of, 42 times too low, and would send them to the driver for a broadcast.
+    pairs = (entries.join(shared.hint("merge"), "key")
              .select("key", "fp", chunk.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
              .select("key", F.least("mine", "other").alias("c1"), F.greatest("mine", "other").alias("c2"), "fp"))
 
@@ -248,7 +249,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     owner = distinct.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least_id")
     named = owner.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_fp = owner.join(named, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select(id_col, "fp", "component_id")
+    # As many rows as documents, and small files: no broadcast here either.
+    return marked.join(by_fp.hint("merge"), "fp").select(id_col, "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fundscope.llm import line_dedup, queries, simhash, substring_dedup
 from fundscope.llm.graph import components
+from fundscope.llm.storage import stored
 from tests.conftest import SF_SMALL
 from tests.llm import brute, cases
 
@@ -195,3 +196,14 @@ def test_links_of_dense_groups_connect_all_near_pairs(spark, monkeypatch, chunk)
 def test_simhash_empty(spark):
     assert simhash.near_duplicates(cases.frame(spark, [])).collect() == []
     assert simhash.drop_near_duplicates(cases.frame(spark, [])).collect() == []
+
+
+def test_simhash_broadcasts_no_table_that_grows_with_the_documents(spark):
+    """Few bytes of fingerprints become 42 entries each: such a join must not depend on the size that Spark reckons."""
+    distinct = stored(spark.createDataFrame([(k * 0x9E3779B97F4A7C15 % (1 << 63),) for k in range(50)], "fp long"), "distinct")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 10 << 20
+    assert "SortMergeJoin" in plan(simhash.links(distinct)) and "Broadcast" not in plan(simhash.links(distinct))
+    docs = spark.createDataFrame([(k, "some words of a text " * k) for k in range(4)], "doc_id long, text string")
+    by_fp = plan(simhash.near_duplicates(docs))
+    assert by_fp[by_fp.index("Join"):].startswith("Join [fp") and "SortMergeJoin" in by_fp[: by_fp.index("Join") + 4]
